@@ -5,7 +5,7 @@
 2. Documents with equal sets are one class; only its least id goes on.
 3. Bands of a few bins are bucket keys. In a bucket, one member is the centre and the others are
    compared with it: a star, not all pairs. A bucket whose other members then lie in several
-   components gets the member with most links as a second centre; links between members that the
+   components gets the member that meets most others as a second centre; links between members that the
    centre isn't linked with are found by an index on what they differ from the centre in (see
    ``_around``). No link between two members of a bucket is lost unless other links join them.
 4. Pairs are confirmed on the full sets.
@@ -160,11 +160,12 @@ def _star_edges(members: DataFrame, sets: DataFrame, threshold: int, name: str)
     rest = met.select("bucket", "doc_id").join(comp, "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
     open_ = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
     rest = materialize(rest.join(open_, "bucket", "left_semi"), f"{name}-rest")
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.groupBy(F.col("a").alias("doc_id")).agg(F.count(F.lit(1)).alias("degree"))
+    # The second centre is the member that meets most others in all its buckets: what it differs in is least.
+    crowd = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("crowd"))
+    met_by = rest.join(crowd, "bucket").groupBy("doc_id").agg(F.sum("crowd").alias("meets"))
     best = (
-        rest.join(degree, "doc_id", "left")
-        .groupBy("bucket").agg(F.min(F.struct((-F.coalesce("degree", F.lit(0))).alias("d"), "doc_id")).alias("c"))
+        rest.join(met_by, "doc_id")
+        .groupBy("bucket").agg(F.min(F.struct((-F.col("meets")).alias("m"), "doc_id")).alias("c"))
         .select("bucket", F.col("c.doc_id").alias("centre"))
     )
     near = rest.join(best, "bucket").filter("doc_id <> centre").select("centre", "doc_id", "comp").distinct()

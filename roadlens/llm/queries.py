@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadlens.llm import chat_format, url_filter
+from roadlens.llm import chat_format, decontaminate, embeddings, html_text, language, minhash, packing, suffix_dedup, token_counts, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,12 +73,86 @@ GROUP BY n, page_id
 """
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents into sequences of 1,024 tokens."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents, at 85 per cent of five-word shingles."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=85)
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of a label at cosine 0.93."""
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+OP5_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+), ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(m, v.vec_id)) AS component_id, least(v.vec_id, coalesce(m, v.vec_id)) = v.vec_id AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) x ON x.a = v.vec_id LEFT JOIN (SELECT a, min(b) AS m FROM r GROUP BY a) y ON y.a = v.vec_id
+"""
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all documents as token files and count each document's tokens by a scan of the files."""
+    out = token_counts.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_tokens")
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = html_text.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page; the text model is fitted on a bounded sample of labelled documents."""
+    labelled = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+    pages = language.page_evidence(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+    out = language.identify(pages, language.fit_text_model(labelled), declared="declared", suffix="suffix", host="host")
+    return out.select("page_id", "detected", F.round("confidence", 6).alias("confidence"), F.round("text_ratio", 6).alias("text_ratio"), "rejected")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages of ten words in all documents."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove every 400-byte string that occurs elsewhere from all documents."""
+    out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def queries() -> dict:
     return {
         "op1_chat_format": op1_chat_format,
         "op2_url_filter": op2_url_filter,
+        "op3_packing": op3_packing,
+        "op4_minhash_dedup": op4_minhash_dedup,
+        "op5_embedding_dedup": op5_embedding_dedup,
+        "op6_token_counts": op6_token_counts,
+        "op7_html_text": op7_html_text,
+        "op8_language_id": op8_language_id,
+        "op9_decontamination": op9_decontamination,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op2_url_filter": OP2_SQL}
+    return {"op1_chat_format": OP1_SQL, "op2_url_filter": OP2_SQL, "op5_embedding_dedup": OP5_SQL}
