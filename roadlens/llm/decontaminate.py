@@ -59,27 +59,28 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
 
     asked = materialize(items.select(F.col("item_id").cast("string").alias("item_id"), F.transform(words_of(F.col("text").cast("string")), lambda w: F.xxhash64(w)).alias("w")).distinct(), f"{name}-items")
     side = window - gram
-    long_ = asked.filter(F.size("w") >= window).withColumn("g", F.expr(_grams("w", gram))).withColumn("q", F.explode(F.expr(_winnowed("g", window, gram))))
+    long_ = asked.filter(F.size("w") >= window).withColumn("g", F.expr(_grams("w", gram))).withColumn("q", F.explode_outer(F.expr(_winnowed("g", window, gram))))
     prints = materialize(long_.select("item_id", F.expr("g[q]").alias("h"), *_sides("w", F.col("q"), gram, side)).distinct(), f"{name}-prints")
     short = asked.filter((F.size("w") > 0) & (F.size("w") < window))
     sizes = sorted(r["n"] for r in short.select(F.size("w").alias("n")).distinct().collect())  # at most window - 1 rows
 
     # Positions of kept hashes that any item has, by document; then the words around them.
     known = _small(materialize(prints.select("h").distinct(), f"{name}-known"))
-    fits = hashed.filter(F.size("w") >= window).withColumn("g", F.expr(_grams("w", gram)))
-    # Kept positions become (position, hash) before they are exploded, so that no array is copied for each row.
-    kept = fits.select("key", F.expr(f"transform({_winnowed('g', window, gram)}, p -> named_struct('p', p, 'h', g[p]))").alias("kept"))
-    hits = kept.select("key", F.explode("kept").alias("k")).select("key", F.col("k.p").alias("p"), F.col("k.h").alias("h")).join(known, "h", "left_semi")
+    grams = hashed.withColumn("g", F.expr(f"if(size(w) >= {window}, {_grams('w', gram)}, cast(array() as array<bigint>))"))
+    # Kept positions become (position, hash) before they are exploded, so that no array is copied for
+    # each row. explode_outer: what explode would add is a filter that repeats all of this per element.
+    kept = grams.select("key", F.expr(f"if(size(g) > 0, transform({_winnowed('g', window, gram)}, p -> named_struct('p', p, 'h', g[p])), null)").alias("kept"))
+    hits = kept.select("key", F.explode_outer("kept").alias("k")).select("key", F.col("k.p").alias("p"), F.col("k.h").alias("h")).join(known, "h", "left_semi")
     at = materialize(hits.groupBy("key").agg(F.collect_set(F.struct("p", "h")).alias("at")), f"{name}-hits")
     there = keyed.select("key", "text").join(_small(at), "key").dropDuplicates(["key"]).withColumn("w", F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)))
-    around = there.withColumn("a", F.explode(F.transform("at", lambda a: F.struct(a["p"].alias("p"), a["h"].alias("h"), *_sides("w", a["p"], gram, side)))))
+    around = there.withColumn("a", F.explode_outer(F.transform("at", lambda a: F.struct(a["p"].alias("p"), a["h"].alias("h"), *_sides("w", a["p"], gram, side)))))
     met = around.select("key", "a.*").join(_small(prints).withColumnsRenamed({"before": "before_i", "after": "after_i"}), "h")
     back, on = _matches("before", "before_i", side), _matches("after", "after_i", side)
     spans = met.withColumn("back", back).withColumn("on", on).filter(F.col("back") + F.col("on") + gram >= window)
     spans = spans.select("key", "item_id", (F.col("p") - F.col("back")).alias("start"), (F.col("p") + gram + F.col("on")).alias("end"))
     for n in sizes:
         whole = materialize(short.filter(F.size("w") == n).select("item_id", F.expr(_grams("w", n))[0].alias("h")).distinct(), f"{name}-short")
-        runs = hashed.filter(F.size("w") >= n).select("key", F.posexplode(F.expr(_grams("w", n))).alias("p", "h"))
+        runs = hashed.select("key", F.posexplode_outer(F.expr(f"if(size(w) >= {n}, {_grams('w', n)}, null)")).alias("p", "h"))
         spans = spans.unionByName(runs.join(_small(whole), "h").select("key", "item_id", F.col("p").alias("start"), (F.col("p") + n).alias("end")))
 
     spans = materialize(spans.distinct(), f"{name}-spans")
