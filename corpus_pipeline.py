@@ -35,7 +35,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut long repeated passages out of the texts; a text of which nothing is left goes."""
     found = suffix_dedup.remove_repeats(docs, name="p-suffix")
     left = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    found = found.withColumn("kept_text", F.expr("cast(kept_bytes as string)")).withColumn("left", left)
+    found = found.withColumn("left", left)
     return (
         found.filter("n_removed = 0 or length(left) > 0")
         .withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("left").cast("long")).otherwise(F.col("n_chars"))).withColumn("text", F.col("left"))

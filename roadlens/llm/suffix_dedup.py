@@ -217,19 +217,20 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums.append((len(raw), len(raw) - len(left), len(runs), hashlib.sha256(left).hexdigest()))
         own = [c for c in names if c not in ("_text", "_spans")]
         columns = [batch.column(names.index(c)) for c in own]
-        columns += [pa.array(kept, pa.binary())] + [pa.array([s[i] for s in sums], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
+        columns += [pa.array(kept, pa.binary()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())] + [pa.array([s[i] for s in sums], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
         yield pa.RecordBatch.from_arrays(columns, [*own, *ADDED])
 
 
-ADDED = ("kept_bytes", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+ADDED = ("kept_bytes", "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, name: str = "suffix") -> DataFrame:
-    """Add kept_bytes, n_bytes, n_removed, n_spans and kept_sha256 to every row of docs.
+    """Add kept_bytes, kept_text, n_bytes, n_removed, n_spans and kept_sha256 to every row of docs.
 
     Removed is each byte covered by a string of ``length`` bytes that also starts at another place, in
     this text or any other row's; overlaps count, and the input decides, not what is left. Null text is
-    empty. Rows that repeat a key and text both count. Kept bytes may cut a character in two. Columns
+    empty. Rows that repeat a key and text both count. Kept bytes may hold a character in part;
+    kept_text leaves such parts out. Columns
     named as the added ones are replaced. No rows give no rows.
     """
     docs = docs.drop(*ADDED)
@@ -241,4 +242,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     spans = repeated_spans(long_, length, name).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
     joined = keyed.join(spans.withColumnRenamed("key", "_key"), "_key", "left").drop("_key").select(*docs.columns, "_text", "_spans")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(_remove, f"{schema}, kept_bytes binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(_remove, f"{schema}, kept_bytes binary, kept_text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
