@@ -1,11 +1,17 @@
-"""Registered queries of the library on the driver's tables."""
+"""Registered queries of the library on the driver's tables.
+
+Ways are orders with their lineitems as ordered nodes (l_partkey), nodes are parts, telemetry is
+events (event_type a topic, user_id a source). Each query runs over whole tables.
+"""
 
 from __future__ import annotations
 
+from roadlens.plans import graph, review, roads, telemetry, tracks
+
 
 def queries() -> dict:
-    return {}
+    return roads.QUERIES | telemetry.QUERIES | tracks.QUERIES | review.QUERIES | graph.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return roads.SQL | telemetry.SQL | tracks.SQL | review.SQL | graph.SQL
