@@ -52,7 +52,8 @@ FROM e GROUP BY conv_id
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge every page's url by the fixed rules."""
-    rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
+    named = [F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in url_filter.RULES]
+    rules = spark.range(1).select(F.inline(F.array(*named)))
     return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
