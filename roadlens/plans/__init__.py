@@ -6,12 +6,12 @@ events (event_type a topic, user_id a source). Each query runs over whole tables
 
 from __future__ import annotations
 
-from roadlens.plans import graph, review, roads, telemetry, tracks
+from roadlens.plans import graph, review, roads, surveys, telemetry, tracks
 
 
 def queries() -> dict:
-    return roads.QUERIES | telemetry.QUERIES | tracks.QUERIES | review.QUERIES | graph.QUERIES
+    return roads.QUERIES | telemetry.QUERIES | tracks.QUERIES | review.QUERIES | graph.QUERIES | surveys.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return roads.SQL | telemetry.SQL | tracks.SQL | review.SQL | graph.SQL
+    return roads.SQL | telemetry.SQL | tracks.SQL | review.SQL | graph.SQL | surveys.SQL
