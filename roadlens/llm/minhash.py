@@ -3,8 +3,8 @@
 1. Each document's set of word shingles gives one minimum per bin (one permutation, cut into bins);
    an empty bin copies the bin that its own sequence of draws meets first (optimal densification).
 2. Documents with equal sets are one class; only its least id goes on.
-3. Bands of a few bins are bucket keys. In a bucket, one member is the centre and the others are
-   compared with it: a star, not all pairs. A bucket whose other members then lie in several
+3. Bands of a few bins are bucket keys. In a bucket, the member that meets most documents in all its
+   buckets is the centre and the others are compared with it: a star, not all pairs. A bucket whose other members then lie in several
    components gets the member that meets most others as a second centre; links between members that the
    centre isn't linked with are found by an index on what they differ from the centre in (see
    ``_around``). No link between two members of a bucket is lost unless other links join them.
@@ -119,7 +119,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, words: int = WO
 
     banded = reps.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = materialize(banded.join(shared.select("bucket"), "bucket", "left_semi"), f"{name}-members")
+    members = materialize(banded.join(shared, "bucket"), f"{name}-members")
     ids = members.select("doc_id").distinct()
     sets = materialize(
         text.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(words), "doc_id long, own array<long>"), f"{name}-sets"
@@ -147,7 +147,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 def _star_edges(members: DataFrame, sets: DataFrame, threshold: int, name: str) -> DataFrame:
     """Confirmed edges (a, b) that connect all members of buckets that links connect."""
-    centres = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "doc_id").alias("h"), "doc_id", "n_shingles")).alias("c"))
+    # The centre is the member that meets most others in all its buckets: buckets of one group then share
+    # few centres, so a document is compared with few of them, and these are likely to be linked with it.
+    met_by = members.groupBy("doc_id").agg(F.sum("size").alias("meets"))
+    centres = (
+        members.join(met_by, "doc_id")
+        .groupBy("bucket").agg(F.min(F.struct((-F.col("meets")).alias("m"), F.xxhash64("doc_id").alias("h"), "doc_id", "n_shingles")).alias("c"))
+    )
     centres = centres.select("bucket", F.col("c.doc_id").alias("centre"), F.col("c.n_shingles").alias("centre_n"))
     met = members.join(centres, "bucket").filter("doc_id <> centre")
     sized = 100 * F.least("n_shingles", "centre_n") >= threshold * F.greatest("n_shingles", "centre_n")
@@ -157,7 +163,7 @@ def _star_edges(members: DataFrame, sets: DataFrame, threshold: int, name: str)
 
     # Where the members that met a centre lie in several components, links among them may be missing.
     comp = components(edges, name=f"{name}-round").select(F.col("id").alias("doc_id"), "component")
-    rest = met.select("bucket", "doc_id").join(comp, "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
+    rest = met.select("bucket", "doc_id").join(comp, "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
     open_ = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
     rest = materialize(rest.join(open_, "bucket", "left_semi"), f"{name}-rest")
     # The second centre is the member that meets most others in all its buckets: what it differs in is least.
@@ -168,25 +174,32 @@ def _star_edges(members: DataFrame, sets: DataFrame, threshold: int, name: str)
         .groupBy("bucket").agg(F.min(F.struct((-F.col("meets")).alias("m"), "doc_id")).alias("c"))
         .select("bucket", F.col("c.doc_id").alias("centre"))
     )
-    near = rest.join(best, "bucket").filter("doc_id <> centre").select("centre", "doc_id", "comp").distinct()
-    return edges.unionByName(_around(near, sets, found.select("a", "b"), threshold, name))
+    near = rest.join(best, "bucket").filter("doc_id <> centre").select("centre", "doc_id").distinct()
+    return edges.unionByName(_around(near, edges, sets, found.select("a", "b"), threshold, name))
 
 
-def _around(near: DataFrame, sets: DataFrame, tested: DataFrame, threshold: int, name: str) -> DataFrame:
-    """Edges between each centre and its members (centre, doc_id, comp), and among these members.
+def _around(near: DataFrame, edges: DataFrame, sets: DataFrame, tested: DataFrame, threshold: int, name: str) -> DataFrame:
+    """Edges between each centre and its members (centre, doc_id), and among members that edges don't connect yet.
 
     With D(x) the elements in which x and the centre differ, x and y differ in |D(x)| + |D(y)| - 2 *
     common elements. So a link between an x that the centre isn't linked with and any y needs a common
     element, and at least max(|D(x)|, |D(y)|) - L of them, where a link allows L differences. Then the
-    L + 1 rarest elements of D(x) meet those of D(y): an index on these finds the pairs. L is at most
-    size * (100 - threshold) / threshold for either side.
+    L + 1 rarest elements of D(x) meet those of D(y): an index on these finds the pairs, and how many
+    of them meet bounds the common elements. L is at most
+    size * (100 - threshold) / threshold for either side. Members that a path of known links connects,
+    those to the centre included, need no more links.
     """
     left = sets.select(F.col("doc_id").alias("centre"), F.col("own").alias("own_c"))
     differ = near.join(left, "centre").join(sets, "doc_id").withColumn("delta", F.concat(F.array_except("own", "own_c"), F.array_except("own_c", "own")))
     joint = (F.size("own") + F.size("own_c") + F.size("delta")) / 2
     differ = materialize(
-        differ.select("centre", "doc_id", "comp", "delta", F.size("own").alias("size"), (100 * (joint - F.size("delta")) >= threshold * joint).alias("linked")), f"{name}-differ"
+        differ.select("centre", "doc_id", "delta", F.size("own").alias("size"), (100 * (joint - F.size("delta")) >= threshold * joint).alias("linked")), f"{name}-differ"
     )
+    own = differ.filter("linked").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b"))
+    comp = components(edges.unionByName(own), name=f"{name}-second").select(F.col("id").alias("doc_id"), "component")
+    apart = materialize(differ.select("centre", "doc_id").join(comp, "doc_id", "left").select("centre", "doc_id", F.coalesce("component", "doc_id").alias("comp")), f"{name}-apart")
+    open_ = apart.groupBy("centre").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("centre")
+    differ = differ.join(apart.join(open_, "centre", "left_semi"), ["centre", "doc_id"])
     elements = differ.select("centre", "doc_id", "comp", "linked", "size", F.size("delta").alias("n"), F.explode("delta").alias("e"))
     common = elements.groupBy("centre", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     shared = materialize(elements.join(common, ["centre", "e"]), f"{name}-shared")
@@ -194,16 +207,20 @@ def _around(near: DataFrame, sets: DataFrame, tested: DataFrame, threshold: int,
     places = F.expr(f"greatest(0, least(n, cast(floor(size * {100 - threshold} / {threshold}) as int) + 1) - (n - size(own)))")
     rare = (
         shared.groupBy("centre", "doc_id", "comp", "linked", "n", "size").agg(F.sort_array(F.collect_list(F.struct("often", "e"))).alias("own"))
-        .select("centre", "doc_id", "comp", "linked", "size", F.explode(F.slice("own", F.lit(1), places)).alias("o"))
-        .select("centre", "doc_id", "comp", "linked", "size", F.col("o.e").alias("e"))
+        .select("centre", "doc_id", "comp", "linked", "n", "size", (F.size("own") - places).alias("rest"), F.explode(F.slice("own", F.lit(1), places)).alias("o"))
+        .select("centre", "doc_id", "comp", "linked", "n", "size", "rest", F.col("o.e").alias("e"))
     )
     rare = materialize(rare, f"{name}-rare")
-    apart = rare.filter("not linked").select("centre", "e", F.col("doc_id").alias("x"), F.col("comp").alias("comp_x"), F.col("size").alias("size_x"))
-    fits = (F.col("doc_id") != F.col("x")) & (F.col("comp") != F.col("comp_x")) & (100 * F.least("size", "size_x") >= threshold * F.greatest("size", "size_x"))
-    pairs = (
-        rare.join(apart, ["centre", "e"]).filter(fits)
-        .select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    side = ["doc_id", "comp", "n", "size", "rest"]
+    far = rare.filter("not linked").select("centre", "e", *(F.col(c).alias(f"{c}_x") for c in side))
+    allowed = F.expr(f"least(size, size_x) * {100 - threshold} / {threshold}")
+    fits = (F.col("doc_id") != F.col("doc_id_x")) & (F.col("comp") != F.col("comp_x")) & (100 * F.least("size", "size_x") >= threshold * F.greatest("size", "size_x"))
+    # Common elements are those met and, beyond the rarest ones of the side whose places end first, what is left of it.
+    met = (
+        rare.join(far, ["centre", "e"]).filter(fits & (F.abs(F.col("n") - F.col("n_x")) <= allowed + 0.001))
+        .groupBy("centre", "doc_id", "doc_id_x").agg(F.count(F.lit(1)).alias("met"), *(F.first(c).alias(c) for c in ("n", "size", "rest", "n_x", "size_x", "rest_x")))
+        .filter(F.col("n") + F.col("n_x") - 2 * (F.col("met") + F.greatest("rest", "rest_x")) <= allowed + 0.001)
     )
+    pairs = met.select(F.least("doc_id", "doc_id_x").alias("a"), F.greatest("doc_id", "doc_id_x").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     more = materialize(_confirmed(pairs, sets, threshold), f"{name}-more")
-    own = differ.filter("linked").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b"))
     return more.filter("linked").select("a", "b").unionByName(own)
