@@ -12,6 +12,7 @@ from roadlens.llm import decontaminate, language, minhash, packing, suffix_dedup
 from roadlens.session import materialize, ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+PASSAGE = 51  # words: a passage of over 50 that documents share is cut, however short its words are
 ORACLE_SQL = None  # the stages are not SQL; tests hold each against a brute-force version
 
 
@@ -32,12 +33,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut long repeated passages out of the texts; a text of which nothing is left goes."""
-    found = suffix_dedup.remove_repeats(docs, name="p-suffix")
+    """Cut long repeated passages out of the texts; a text of which no word is left goes.
+
+    Long is 400 bytes, as in op10, wherever else they occur, or ``PASSAGE`` words of another document.
+    """
+    found = suffix_dedup.remove_repeats(docs, name="p-suffix", words=PASSAGE)
     left = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     found = found.withColumn("left", left)
     return (
-        found.filter("n_removed = 0 or length(left) > 0")
+        found.filter(F.expr("n_removed = 0") | F.col("left").rlike(r"\S"))
         .withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("left").cast("long")).otherwise(F.col("n_chars"))).withColumn("text", F.col("left"))
         .select(*docs.columns)
     )

@@ -10,6 +10,9 @@ round is an aggregation over 64-bit hashes, so a passage in very many documents
 The method named for this operator (intervals of a Burrows-Wheeler transform, expanded breadth first
 up to a least length) needs one index over the whole corpus; here intervals are groups of equal cores,
 expanded in the same order and stopped at the same length, without the index.
+
+Passages of so many words are found in the same way: each text becomes a string of one 8-byte hash a
+word, in which a passage has one length whatever its letters are.
 """
 
 from __future__ import annotations
@@ -21,11 +24,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from roadlens.llm.words import CHUNK_BYTES, mix, prefix_hashes, span_hashes
+from roadlens.llm.words import CHUNK_BYTES, mix, prefix_hashes, span_hashes, word_bounds
 from roadlens.session import materialize
 
 LENGTH = 400
 GRAM = 8
+CODE = 8  # bytes of a word's hash
 WIDTHS = (200, 40, 8, 1)
 _POSITION_BITS = 24
 _PIECE = 4_000_000  # longer texts are read in pieces of so many string starts
@@ -134,31 +138,38 @@ def _narrower(width: int, length: int):
 RANGE = "key string, anchor long, lo int, hi int, core long, hull long"
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix") -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix", across: bool = False) -> DataFrame:
     """(key, text) to (key, start, end): bytes covered by a ``length``-byte string that occurs elsewhere.
 
+    With ``across``, elsewhere is a text of another key only. A binary text is taken as it is.
+
     The strings are judged on the input; spans of a key may overlap. Texts shorter than ``length``
     have none. A key must name one text; keys may be shared by equal texts only.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
-    data = texts.select(F.col("key").cast("string"), F.col("text").cast("string"))
+    text = F.col("text") if dict(texts.dtypes)["text"] == "binary" else F.col("text").cast("string")
+    data = texts.select(F.col("key").cast("string"), text)
+    more = F.min("key") < F.max("key") if across else F.count(F.lit(1)) > 1
     now = materialize(data.mapInArrow(_first(length), RANGE), f"{name}-0")
     spans = None
     for turn, width in enumerate(WIDTHS):
-        twice = now.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
+        twice = now.groupBy("core").agg(more.alias("more")).filter("more").select("core")
         alive = now.join(twice, "core", "left_semi")
-        whole = alive.groupBy("hull").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+        whole = alive.groupBy("hull").agg(more.alias("copies")).filter("copies")
         judged = materialize(alive.join(whole, "hull", "left").select("key", "anchor", "lo", "hi", "core", "hull", F.col("copies").isNotNull().alias("all")), f"{name}-judged")
         found = judged.filter("all").select("key", (F.col("anchor") - F.col("hi")).alias("start"), (F.col("anchor") - F.col("lo") + length).alias("end"))
         spans = found if spans is None else spans.unionByName(found)
         if turn + 1 == len(WIDTHS):
             return spans
         place = F.expr(f"lo div {WIDTHS[0]}").alias("block")
-        # One of the equal hulls that are settled stays as a witness where others of its group are open.
+        # One of the equal hulls that are settled stays as a witness where others of its group are open;
+        # with across one of each of two keys, as a range can't witness for its own key.
         undecided = judged.filter("not all")
         settled = judged.filter("all").join(undecided.select("core").distinct(), "core", "left_semi")
-        witness = settled.groupBy("hull").agg(F.min(F.struct("key", "anchor", "lo", "hi")).alias("w")).select("w.*")
+        own = F.struct("key", "anchor", "lo", "hi")
+        ends = F.array(F.min(own), F.max(own)) if across else F.array(F.min(own))
+        witness = settled.groupBy("hull").agg(ends.alias("w")).select(F.explode("w").alias("w")).select("w.*")
         open_ = undecided.select("key", "anchor", "lo", "hi").unionByName(witness).groupBy("key", "anchor", place).agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("r"))
         if turn == 0:
             ranges = open_.groupBy("key").agg(F.collect_list(F.struct("anchor", "block", "r")).alias("r"))
@@ -200,14 +211,32 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as strings of one hash a word."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            data = np.frombuffer(batch.column(1)[r].as_buffer(), np.uint8)
+            start, end = word_bounds(data)
+            codes = span_hashes(prefix_hashes(data), start, end)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(r, 1), pa.array([codes.tobytes()], pa.binary())], ["key", "text"])
+
+
+def _passages(raw: bytes, spans: list[dict], words: int) -> list[tuple[int, int]]:
+    """Bytes of a text that spans of its word hashes stand for; only whole words count."""
+    start, end = word_bounds(np.frombuffer(raw, np.uint8))
+    # The strings of a span that start with a word.
+    cut = [(-(-x["start"] // CODE), x["end"] // CODE) for x in spans]
+    return [(int(start[a]), int(end[b - 1])) for a, b in cut if b - a >= words]
+
+
+def _remove(batches: Iterator[pa.RecordBatch], words: int = 0) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = batch.schema.names
         kept, sums = [], []
-        for text, spans in zip(batch.column(names.index("_text")), batch.column(names.index("_spans")), strict=True):
+        for text, spans, passages in zip(*(batch.column(names.index(c)) for c in ("_text", "_spans", "_passages")), strict=True):
             buffer = text.as_buffer()
             raw = b"" if buffer is None else buffer.to_pybytes()
-            runs = merge([(x["start"], x["end"]) for x in spans.as_py() or []])
+            runs = merge(sorted([(x["start"], x["end"]) for x in spans.as_py() or []] + _passages(raw, passages.as_py() or [], words)))
             at, rest = 0, []
             for a, b in runs:
                 rest.append(raw[at:a])
@@ -215,7 +244,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left = b"".join([*rest, raw[at:]])
             kept.append(left)
             sums.append((len(raw), len(raw) - len(left), len(runs), hashlib.sha256(left).hexdigest()))
-        own = [c for c in names if c not in ("_text", "_spans")]
+        own = [c for c in names if c not in ("_text", "_spans", "_passages")]
         columns = [batch.column(names.index(c)) for c in own]
         columns += [pa.array(kept, pa.binary()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())] + [pa.array([s[i] for s in sums], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
         yield pa.RecordBatch.from_arrays(columns, [*own, *ADDED])
@@ -224,7 +253,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 ADDED = ("kept_bytes", "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, name: str = "suffix") -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, name: str = "suffix", words: int = 0) -> DataFrame:
     """Add kept_bytes, kept_text, n_bytes, n_removed, n_spans and kept_sha256 to every row of docs.
 
     Removed is each byte covered by a string of ``length`` bytes that also starts at another place, in
@@ -232,6 +261,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     empty. Rows that repeat a key and text both count. Kept bytes may hold a character in part;
     kept_text leaves such parts out. Columns
     named as the added ones are replaced. No rows give no rows.
+
+    With ``words``, removed too is each passage of so many words (between ASCII white space, equal in
+    every byte) that a row with another key or text also holds, with the white space inside it.
     """
     docs = docs.drop(*ADDED)
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -240,6 +272,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     keyed = docs.withColumn("_key", own).withColumn("_text", body)
     long_ = keyed.filter(F.octet_length("_text") >= length).select(F.col("_key").alias("key"), F.col("_text").alias("text"))
     spans = repeated_spans(long_, length, name).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-    joined = keyed.join(spans.withColumnRenamed("key", "_key"), "_key", "left").drop("_key").select(*docs.columns, "_text", "_spans")
+    joined = keyed.join(spans.withColumnRenamed("key", "_key"), "_key", "left")
+    if words:
+        # A passage has at least a byte a word and one between two.
+        worded = keyed.filter(F.octet_length("_text") >= 2 * words - 1).select(F.col("_key").alias("key"), F.col("_text").alias("text"))
+        codes = materialize(worded.dropDuplicates(["key"]).mapInArrow(_codes, "key string, text binary").filter(F.octet_length("text") >= CODE * words), f"{name}-codes")
+        passages = repeated_spans(codes, CODE * words, f"{name}-words", across=True).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("_passages"))
+        joined = joined.join(passages.withColumnRenamed("key", "_key"), "_key", "left")
+    else:
+        joined = joined.withColumn("_passages", F.lit(None).cast("array<struct<start: bigint, end: bigint>>"))
+    joined = joined.select(*docs.columns, "_text", "_spans", "_passages")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(_remove, f"{schema}, kept_bytes binary, kept_text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(lambda batches: _remove(batches, words), f"{schema}, kept_bytes binary, kept_text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -72,6 +72,14 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64) * _ODD[63])
 
 
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of one text between ASCII white space."""
+    solid = np.zeros(len(data) + 2, np.int8)
+    solid[1:-1] = ~_SPACE[data]
+    turn = np.diff(solid)
+    return np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words between ASCII white space, A-Z lower-cased, and the row of each word."""
     lower = _LOWER[data]
