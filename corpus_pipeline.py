@@ -1,7 +1,7 @@
 """The corpus pipeline: language, near-duplicates, long repeats, benchmarks, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the one before kept. All but the
-last return the columns of documents. Rows with a null doc_id are never dropped as duplicates.
+last return the columns of documents.
 """
 
 from __future__ import annotations
@@ -27,9 +27,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of each group (five words, similarity 0.8 or more)."""
-    dropped = minhash.near_duplicates(docs.select("doc_id", "text"), name="p-minhash").filter("not kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """Keep one row of each group (five words, similarity 0.8 or more): the least id, null ids last.
+
+    Every row takes part under a number of its own, so repeated rows and null ids are grouped by their
+    texts as others are. Rows without a word are one group if they share doc_id and text.
+    """
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "p-minhash-rows")
+    found = minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), name="p-minhash")
+    found = found.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64(*docs.columns).alias("tie"), "_row")
+    named = rows.select("_row", first.alias("first"), F.struct("doc_id", F.xxhash64("text").alias("h")).alias("same")).join(found, "_row")
+    group = [F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("near"), F.when(F.col("n_shingles") == 0, F.col("same")).alias("same")]
+    named = materialize(named.select("_row", "first", *group), "p-minhash-named")
+    kept = named.groupBy("near", "same").agg(F.min("first").alias("first")).select("first._row")
+    dropped = named.select("_row").join(kept, "_row", "left_anti")
+    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,3 +71,16 @@ def test_many_passages_by_brute_force(spark):
     want = {i: t for i, t in want.items() if t == texts[i] or t.strip()}
     got = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, _docs(spark, rows), "").collect()}
     assert got == want
+
+
+def test_one_of_all_copies_comes_through_both_duplicate_stages(spark):
+    random.seed(11)
+    text = lambda: " ".join("".join(random.choice("abcdefgh") for _ in range(5)) for _ in range(120))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(5, a), (5, a), (7, b), (None, b), (None, c), (None, c), (9, d), (8, d + " end"), (11, e), (11, "other words " + text())]
+    rows += [(12, ""), (12, ""), (13, ""), (14, None), (14, None)]
+    left = corpus_pipeline.drop_near_duplicates(spark, _docs(spark, rows), "")
+    want = sorted([(5, a), (7, b), (None, c), (8, d + " end"), rows[8], rows[9], (12, ""), (13, ""), (14, None)], key=str)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == want
+    through = corpus_pipeline.cut_repeats(spark, left, "")
+    assert sorted(((r.doc_id, r.text) for r in through.collect()), key=str) == want
