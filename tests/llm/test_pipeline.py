@@ -84,3 +84,11 @@ def test_one_of_all_copies_comes_through_both_duplicate_stages(spark):
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == want
     through = corpus_pipeline.cut_repeats(spark, left, "")
     assert sorted(((r.doc_id, r.text) for r in through.collect()), key=str) == want
+
+
+def test_contaminated_rows_go_by_id_and_text(spark, tmp_path):
+    item = "one two three four five six seven eight nine ten"
+    spark.createDataFrame([("i", item)], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, f"so {item} end"), (None, "clean"), (1, f"{item} x"), (1, "clean too"), (2, "x " + item[4:]), (3, None), (None, None)]
+    left = corpus_pipeline.drop_contaminated(spark, _docs(spark, rows), str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted([rows[1], rows[3], rows[4], rows[5], rows[6]], key=str)
