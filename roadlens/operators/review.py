@@ -15,6 +15,17 @@ def decided(findings: DataFrame, decisions: DataFrame, key: str, status: str) ->
     return findings.join(decisions.select(key, F.col(status).alias("_s")), key, "left").withColumn("status", F.coalesce("_s", F.lit("undecided"))).drop("_s")
 
 
+def decided_by_question(reviewed: DataFrame, before: DataFrame, decisions: DataFrame, key: str, question: str, status: str) -> DataFrame:
+    """Reviewed findings with the status of the decision that names an earlier finding of the same question.
+
+    Ids (key) may change between before and reviewed; of earlier findings of one question the greatest id counts.
+    """
+    earlier = before.groupBy(question).agg(F.max(key).alias("_id"))
+    answers = decisions.select(F.col(key).alias("_id"), F.col(status).alias("_s"))
+    named = earlier.join(answers, "_id").select(question, "_s")
+    return reviewed.join(named, question, "left").withColumn("status", F.coalesce("_s", F.lit("undecided"))).drop("_s")
+
+
 def version_diff(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Ids that were added or removed between two versions."""
     added = after.select(key).exceptAll(before.select(key)).distinct().withColumn("change", F.lit("added"))
@@ -27,11 +38,16 @@ def by_rule(findings: DataFrame, rule: str, severity: str, levels: list[str]) ->
     return findings.groupBy(rule).pivot(severity, levels).agg(F.count(F.lit(1))).fillna(0, levels)
 
 
-def migrated(decisions: DataFrame, findings: DataFrame, key: str, checksum: str) -> DataFrame:
-    """Decisions as carried, invalidated (evidence changed) or unknown (no such finding)."""
-    now = findings.select(key, F.col(checksum).alias("_c"), F.lit(True).alias("_there"))
-    state = F.when(F.col("_there").isNull(), "unknown").when(F.col("_c").eqNullSafe(F.col(checksum)), "carried").otherwise("invalidated")
-    return decisions.join(now, key, "left").withColumn("state", state).drop("_c", "_there")
+def migrated(decisions: DataFrame, findings: DataFrame, key: str, checksum: str, status: str | None = None, severity: str | None = None) -> DataFrame:
+    """Decisions as carried, invalidated (evidence changed, or a blocker ignored) or unknown (no such finding).
+
+    Blockers are judged by the decision's ``status`` and the finding's ``severity``, if both are named.
+    """
+    judged = bool(status and severity)
+    now = findings.select(key, F.col(checksum).alias("_c"), (F.col(severity) if judged else F.lit(None)).alias("_severity"), F.lit(True).alias("_there"))
+    aside = F.coalesce((F.col(status) == "ignored") & (F.col("_severity") == "blocker"), F.lit(False)) if judged else F.lit(False)
+    state = F.when(F.col("_there").isNull(), "unknown").when(F.col("_c").eqNullSafe(F.col(checksum)) & ~aside, "carried").otherwise("invalidated")
+    return decisions.join(now, key, "left").withColumn("state", state).drop("_c", "_severity", "_there")
 
 
 def identity_relation(mine: tuple[Column, Column, Column], theirs: tuple[Column, Column, Column]) -> Column:

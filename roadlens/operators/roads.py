@@ -48,12 +48,22 @@ def weak_components(pairs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     return components(pairs.select(*keys, F.col("u").alias("a"), F.col("v").alias("b")), keys, "weak")
 
 
-def component_summary(pairs: DataFrame, way: str) -> DataFrame:
-    """Nodes, edges and ways per weak component, numbered by size, then least node."""
+def component_summary(pairs: DataFrame, way: str, highways: DataFrame | None = None) -> DataFrame:
+    """Nodes, edges and ways per weak component, numbered from 1 by size, then least node.
+
+    With highways (way, highway) also how many ways of each highway, sorted by name; ways without one
+    are '<missing>', ways without a row are left out. Numbering sorts the components in one task.
+    """
     comp = weak_components(pairs)
     sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("n_nodes"))
     edges = pairs.join(comp.withColumnRenamed("id", "u"), "u").groupBy("component").agg(F.count(F.lit(1)).alias("n_edges"), F.count_distinct(way).alias("n_ways"))
-    return sizes.join(edges, "component")
+    out = sizes.join(edges, "component").withColumn("number", F.row_number().over(Window.orderBy(F.desc("n_nodes"), "component")))
+    if highways is None:
+        return out
+    ways = pairs.join(comp.withColumnRenamed("id", "u"), "u").select("component", way).distinct()
+    named = highways.select(way, F.coalesce("highway", F.lit("<missing>")).alias("highway")).dropDuplicates([way])
+    counts = ways.join(named, way).groupBy("component", "highway").agg(F.count(F.lit(1)).alias("n"))
+    return out.join(counts.groupBy("component").agg(F.sort_array(F.collect_list(F.struct("highway", "n"))).alias("highways")), "component", "left")
 
 
 def readiness(errors: Column, missing: Column) -> Column:

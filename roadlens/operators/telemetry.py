@@ -31,12 +31,12 @@ def completeness(rows: DataFrame, frame: list[str], topic: str, expected: list[s
     return out.withColumn("missing", F.sort_array(F.array_except(F.array(*map(F.lit, expected)), "_t"))).drop("_t")
 
 
-def runs(rows: DataFrame, keys: list[str], order: list[str], flag: Column) -> DataFrame:
-    """Runs of flagged rows (gaps and islands): keys, run, n_rows."""
+def runs(rows: DataFrame, keys: list[str], order: list[str], flag: Column, least: int = 1) -> DataFrame:
+    """Runs of at least so many flagged rows (gaps and islands): keys, run, n_rows."""
     w = Window.partitionBy(*keys).orderBy(*order)
     marked = rows.withColumn("_f", F.coalesce(flag, F.lit(False))).withColumn("_r", F.row_number().over(w))
     marked = marked.withColumn("_i", F.col("_r") - F.row_number().over(Window.partitionBy(*keys, "_f").orderBy(*order))).filter("_f")
-    return marked.groupBy(*keys, "_i").agg(F.min("_r").alias("run"), F.count(F.lit(1)).alias("n_rows")).drop("_i")
+    return marked.groupBy(*keys, "_i").agg(F.min("_r").alias("run"), F.count(F.lit(1)).alias("n_rows")).drop("_i").filter(F.col("n_rows") >= least)
 
 
 def stop_go(rows: DataFrame, keys: list[str], order: list[str], speed: Column, stopped: float = 0.2, moving: float = 1.0) -> DataFrame:
@@ -59,9 +59,10 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], time: str, value:
     return both.withColumn(f"{value}_as_of", F.last(F.when(F.col("_side") == 0, F.struct("_v"))["_v"], ignorenulls=True).over(w)).filter("_side = 1").drop("_v", "_side")
 
 
-def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The last row stated for each key."""
-    return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_r = 1").drop("_r")
+def latest(rows: DataFrame, keys: list[str], order: list[Column], cleared: Column | None = None) -> DataFrame:
+    """The last row stated for each key; no row if that one is ``cleared``."""
+    last = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_r = 1").drop("_r")
+    return last if cleared is None else last.filter(~F.coalesce(cleared, F.lit(False)))
 
 
 def agreement(left: DataFrame, right: DataFrame, keys: list[str], value: str, tolerance: float) -> DataFrame:

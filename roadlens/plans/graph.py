@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from roadlens.functions import tags
 from roadlens.operators import roads
 from roadlens.plans.roads import PAIRS_SQL, pairs_of
-from roadlens.plans.tables import table
+from roadlens.plans.tables import table, way_tags
 
 
 def road_network_audit(spark, sf_dir):
     """PRJ-03, GR-01, AG-02, AG-03: components of the road graph with size and readiness."""
-    summary = roads.component_summary(pairs_of(spark, sf_dir), "l_orderkey")
-    return summary.select("component", "n_nodes", "n_edges", "n_ways", roads.readiness(F.when(F.col("n_nodes") < 2, 1).otherwise(0), F.when(F.col("n_ways") < 2, 1).otherwise(0)).alias("verdict"))
+    highways = way_tags(spark, sf_dir).select(F.col("o_orderkey").alias("l_orderkey"), tags.tag(F.col("tags"), "highway").alias("highway"))
+    summary = roads.component_summary(pairs_of(spark, sf_dir), "l_orderkey", highways)
+    return summary.select("component", "number", "n_nodes", "n_edges", "n_ways", "highways", roads.readiness(F.when(F.col("n_nodes") < 2, 1).otherwise(0), F.when(F.col("n_ways") < 2, 1).otherwise(0)).alias("verdict"))
 
 
 def customer_network(spark, sf_dir):

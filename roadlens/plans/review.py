@@ -41,6 +41,21 @@ def migrated_decisions(spark, sf_dir):
     return review.migrated(d, f, "doc_id", "sum").groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
+def migrated_review(spark, sf_dir):
+    """GATE-04: as above, with ignored blockers."""
+    d = table(spark, sf_dir, "labels").select((F.col("doc_id") * 2).alias("doc_id"), (F.col("doc_id") % 2 * 3).alias("sum"), F.when(F.col("toxic") == 1, "ignored").otherwise("accepted").alias("status"))
+    f = table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 4 / 2 * 3).cast("long").alias("sum"), F.when(F.col("lang") == "en", "blocker").otherwise("warning").alias("severity"))
+    return review.migrated(d, f, "doc_id", "sum", "status", "severity").groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+
+
+def reviewed_findings(spark, sf_dir):
+    """JN-18: decisions on findings whose ids have changed since."""
+    before = table(spark, sf_dir, "documents").select("doc_id", review.question_key(F.col("lang"), F.col("source"), F.col("doc_id")).alias("question"))
+    d = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("toxic") == 1, "ignored").otherwise("accepted").alias("state"))
+    reviewed = before.withColumn("doc_id", F.col("doc_id") + 1_000_000)
+    return review.decided_by_question(reviewed, before, d, "doc_id", "question", "state").select("doc_id", "status")
+
+
 def dangling_links(spark, sf_dir):
     """JN-09: orders' customers that have no row, and parts not named by any line."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") * 2).alias("o_custkey"))
@@ -55,7 +70,7 @@ def not_mirrored(spark, sf_dir):
     return review.not_mirrored(exits, entries)
 
 
-QUERIES = {f.__name__: f for f in (decided_findings, version_changes, findings_by_rule, version_counts, migrated_decisions, dangling_links, not_mirrored)}
+QUERIES = {f.__name__: f for f in (decided_findings, version_changes, findings_by_rule, version_counts, migrated_decisions, migrated_review, reviewed_findings, dangling_links, not_mirrored)}
 SQL = {
     "decided_findings": """SELECT lang AS rule, count(*) AS n, count(*) FILTER (quality IS NOT NULL AND toxic <> 1) AS n_resolved, count(*) FILTER (l.doc_id IS NULL) AS n_open
       FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""",
@@ -65,6 +80,10 @@ SQL = {
     "version_counts": "SELECT l_linestatus, l_returnflag, count(*) AS n, CAST(grouping(l_linestatus, l_returnflag) AS INT) AS level FROM lineitem GROUP BY ROLLUP (l_linestatus, l_returnflag)",
     "migrated_decisions": """SELECT CASE WHEN d.doc_id IS NULL THEN 'unknown' WHEN d.doc_id % 3 = l.doc_id % 3 THEN 'carried' ELSE 'invalidated' END AS state, count(*) AS n
       FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id * 2 GROUP BY 1""",
+    "migrated_review": """SELECT CASE WHEN d.doc_id IS NULL THEN 'unknown' WHEN (l.doc_id % 2 * 3) <> (d.doc_id % 4 // 2 * 3) OR (l.toxic = 1 AND d.lang = 'en') THEN 'invalidated' ELSE 'carried' END AS state, count(*) AS n
+      FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id * 2 GROUP BY 1""",
+    "reviewed_findings": """SELECT d.doc_id + 1000000 AS doc_id, CASE WHEN l.doc_id IS NULL THEN 'undecided' WHEN l.toxic = 1 THEN 'ignored' ELSE 'accepted' END AS status
+      FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
     "dangling_links": "SELECT o_orderkey, o_custkey * 2 AS o_custkey FROM orders WHERE o_custkey * 2 NOT IN (SELECT c_custkey FROM customer)",
     "not_mirrored": """SELECT DISTINCT l_suppkey AS id, l_partkey AS "to" FROM lineitem a WHERE NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_partkey = a.l_partkey AND b.l_suppkey = a.l_suppkey AND b.l_quantity > 25)""",
 }

@@ -40,6 +40,12 @@ def flagged_runs(spark, sf_dir):
     return r.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_runs"), F.max("n_rows").alias("longest"))
 
 
+def long_runs(spark, sf_dir):
+    """WN-12: runs of two high values or more."""
+    r = telemetry.runs(events(spark, sf_dir), ["user_id"], ["us", "event_id"], F.col("value") > 100, least=2)
+    return r.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_runs"), F.max("n_rows").alias("longest"))
+
+
 def stop_go_cycles(spark, sf_dir):
     """WN-14: speed is value / 100."""
     return telemetry.stop_go(events(spark, sf_dir), ["user_id"], ["us", "event_id"], F.col("value") / 100)
@@ -59,6 +65,12 @@ def latest_statement(spark, sf_dir):
     return r.select("user_id", "event_type", "event_id", "value")
 
 
+def standing_statement(spark, sf_dir):
+    """WN-18: the last event of each source, unless it is an error, which clears it."""
+    r = telemetry.latest(events(spark, sf_dir), ["user_id"], [F.desc("us"), F.desc("event_id")], F.col("event_type") == "error")
+    return r.select("user_id", "event_id", "event_type")
+
+
 def channel_agreement(spark, sf_dir):
     """JN-29: two channels of a source compared by minute."""
     e = events(spark, sf_dir).withColumn("minute", F.floor(F.col("us") / 60_000_000))
@@ -66,7 +78,7 @@ def channel_agreement(spark, sf_dir):
     return telemetry.agreement(side("click"), side("view"), ["user_id", "minute"], "value", 50.0)
 
 
-QUERIES = {f.__name__: f for f in (message_gaps, channel_rates, latency_percentiles, frame_completeness, flagged_runs, stop_go_cycles, as_of_value, latest_statement, channel_agreement)}
+QUERIES = {f.__name__: f for f in (message_gaps, channel_rates, latency_percentiles, frame_completeness, flagged_runs, long_runs, stop_go_cycles, as_of_value, latest_statement, standing_statement, channel_agreement)}
 
 _E = "e AS (SELECT *, epoch_us(ts) AS us FROM events)"
 SQL = {
@@ -78,12 +90,16 @@ SQL = {
       SELECT n_missing, repeated, count(*) AS n_frames FROM f GROUP BY ALL""",
     "flagged_runs": f"""WITH {_E}, r AS (SELECT user_id, value > 100 AS f, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) - row_number() OVER (PARTITION BY user_id, value > 100 ORDER BY us, event_id) AS i FROM e),
       g AS (SELECT user_id, i, count(*) AS n FROM r WHERE f GROUP BY ALL) SELECT user_id, count(*) AS n_runs, max(n) AS longest FROM g GROUP BY 1""",
+    "long_runs": f"""WITH {_E}, r AS (SELECT user_id, value > 100 AS f, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) - row_number() OVER (PARTITION BY user_id, value > 100 ORDER BY us, event_id) AS i FROM e),
+      g AS (SELECT user_id, i, count(*) AS n FROM r WHERE f GROUP BY ALL HAVING count(*) >= 2) SELECT user_id, count(*) AS n_runs, max(n) AS longest FROM g GROUP BY 1""",
     "stop_go_cycles": f"""WITH {_E}, s AS (SELECT user_id, us, event_id, last_value(CASE WHEN value / 100 < 0.2 THEN 'stop' WHEN value / 100 > 1.0 THEN 'go' END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY us, event_id) AS s FROM e),
       p AS (SELECT *, lag(s) OVER (PARTITION BY user_id ORDER BY us, event_id) AS p FROM s),
       n AS (SELECT *, count(*) FILTER (s = 'stop' AND p = 'go') OVER (PARTITION BY user_id ORDER BY us, event_id) AS n FROM p) SELECT user_id, count(*) FILTER (s = 'go' AND p = 'stop' AND n > 0) AS cycles FROM n GROUP BY 1""",
     "as_of_value": f"""WITH {_E}, l AS (SELECT event_id, user_id, us FROM e WHERE event_type = 'purchase'), r AS (SELECT user_id, us, max_by(value, event_id) AS value FROM e WHERE event_type = 'error' GROUP BY ALL)
       SELECT l.event_id, r.value AS value_as_of FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND l.us >= r.us""",
     "latest_statement": f"WITH {_E} SELECT user_id, event_type, event_id, value FROM e QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY us DESC, event_id DESC) = 1",
+    "standing_statement": f"""WITH {_E}, r AS (SELECT user_id, event_id, event_type FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY us DESC, event_id DESC) = 1)
+      SELECT * FROM r WHERE event_type IS DISTINCT FROM 'error'""",
     "channel_agreement": f"""WITH {_E}, m AS (SELECT user_id, us // 60000000 AS m, event_type AS t, max(value) AS v FROM e WHERE event_type IN ('click', 'view') GROUP BY ALL)
       SELECT count(*) AS n, max(abs(a.v - b.v)) AS largest, count(*) FILTER (abs(a.v - b.v) > 50) AS n_out FROM m a JOIN m b ON a.user_id = b.user_id AND a.m = b.m AND a.t = 'click' AND b.t = 'view'""",
 }
