@@ -214,11 +214,15 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as strings of one hash a word."""
     for batch in batches:
+        out, first, held = [], 0, 0
         for r in range(batch.num_rows):
             data = np.frombuffer(batch.column(1)[r].as_buffer(), np.uint8)
             start, end = word_bounds(data)
-            codes = span_hashes(prefix_hashes(data), start, end)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(r, 1), pa.array([codes.tobytes()], pa.binary())], ["key", "text"])
+            out.append(span_hashes(prefix_hashes(data), start, end).tobytes())
+            held += len(out[-1])
+            if held > CHUNK_BYTES or r + 1 == batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(out)), pa.array(out, pa.binary())], ["key", "text"])
+                out, first, held = [], r + 1, 0
 
 
 def _passages(raw: bytes, spans: list[dict], words: int) -> list[tuple[int, int]]:
