@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Elements and name parts.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -181,16 +182,20 @@ def main_text(page: str, tree: tuple) -> str:
 def extract(pages: DataFrame, page: str = "html", text: str = "text", labelled: list[tuple] | None = None) -> DataFrame:
     """Add the main text of ``page`` to every row as a column ``text``; empty if there is none.
 
-    Null html is empty. Character references are decoded, white space in a block is one blank, and
-    nothing is capped. A column of the same name is replaced; other columns stay.
+    Null or empty html gives an empty text. Character references are decoded, white space in a block is
+    one blank, and nothing is capped, however long a page is. Where classes tie in a leaf of the tree,
+    blocks are not text. A column named as ``text`` is replaced; all others stay, whatever their names.
+    Repeated rows each get the same result. No rows give no rows.
     """
     tree = grow(labelled or LABELLED)
-    kept = [c for c in pages.columns if c != text]
+    # The page's own columns travel in a struct, so that none meets a name of ours.
+    own = F.struct(F.lit(None).cast("int").alias("_"), *[F.col(f"`{c}`") for c in pages.columns if c != text])
+    given = pages.select(own.alias("row"), F.col(f"`{page}`").cast("string").alias("page"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [main_text(x.as_py() or "", tree) for x in batch.column(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), pa.array(found, pa.string())], [*kept, text])
+            found = [main_text(x.as_py() or "", tree) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["row", "text"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*kept).schema.fields)
-    return pages.select(*kept, F.col(page).cast("string").alias("_html")).mapInArrow(run, f"{schema}, `{text}` string")
+    out = given.mapInArrow(run, StructType([given.schema["row"], StructField("text", StringType())]))
+    return out.select(*[F.col(f"row.`{c}`") for c in pages.columns if c != text], F.col("text").alias(text))

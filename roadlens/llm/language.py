@@ -3,8 +3,8 @@
 Evidence for a row: how likely each language makes its text (byte trigrams, smoothed counts of a
 bounded labelled sample), the language that its markup declares, the suffix of its address, and a
 prior of its host. Host priors are grouped counts of the languages that the text alone gives, smoothed
-from the host to its domain, from there to the top-level domain, and from there to all rows. How far
-declarations and suffixes can be trusted is counted over all rows in the same way.
+from the host to its domain, from there to the top-level domain, and from there to all rows. What a
+declaration or a suffix says of a language, whatever its value, is counted over all rows in the same way.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from roadlens.llm.words import mix, text_chunks
+from roadlens.llm.words import CHUNK_BYTES, mix, text_chunks
 from roadlens.session import materialize
 
 #: Rows of each language that the text model is fitted on, about; whole texts of these rows.
@@ -23,6 +24,8 @@ SAMPLE_ROWS = 500
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
 PRIOR_WEIGHT = 10.0
+#: What is kept on the driver for the text model: languages x buckets of float32, for at most so many languages.
+MOST_LANGUAGES = 1000
 #: Trigrams beyond so many add no certainty: neighbouring ones depend on each other.
 TRUSTED_GRAMS = 200
 #: A text whose best language explains a trigram worse than this (mean log ratio to even odds) is rejected.
@@ -52,10 +55,13 @@ def fit_text_model(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple
     """Labelled rows (id, text, lang) to languages and log-likelihoods [language, bucket].
 
     About ``sample_rows`` rows of each language are used, chosen by a hash of their id; rows without a
-    text or language are not. What comes to the driver is at most languages x buckets counts.
+    text or language are not. What comes to the driver is at most languages x buckets counts; labels of
+    over ``MOST_LANGUAGES`` values are not languages and are refused.
     """
     rows = labelled.select("id", "lang", "text").filter("lang is not null and text is not null")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    if sizes.limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     chosen = rows.join(F.broadcast(sizes), "lang").filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(1_000_000 * sample_rows) / F.col("n"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,26 +85,40 @@ def fit_text_model(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple
 
 
 def score_text(rows: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
-    """Replace a text column by n_grams and mean log ratios to even odds for each language (score)."""
+    """Replace a text column by n_grams and mean log ratios to even odds for each language (score).
+
+    Columns that are already named so are replaced.
+    """
+    rows = rows.drop(*{"n_grams", "score"} - {text})
     langs, table = model
-    kept = [c for c in rows.columns if c != text]
+    kept = rows.drop(text).schema.fields
+    names = [f.name for f in kept]
     even = np.float32(np.log(BUCKETS))
 
+    def sums(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bucket, use = _trigrams(data, offsets)
+        at = np.minimum(offsets, len(bucket))
+        n = np.diff(np.r_[0, np.cumsum(use)][at])
+        score = np.zeros((len(offsets) - 1, len(langs)))
+        for i in range(len(langs)):
+            score[:, i] = np.diff(np.r_[0.0, np.cumsum(np.where(use, table[i][bucket] + even, 0), dtype="f8")][at])
+        return n, score
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in text_chunks(batch.column(batch.num_columns - 1)):
-                bucket, use = _trigrams(data, offsets)
-                at = np.minimum(offsets, len(bucket))
-                n = np.diff(np.r_[0, np.cumsum(use)][at])
-                score = np.stack([np.diff(np.r_[0.0, np.cumsum(np.where(use, table[i][bucket] + even, 0), dtype="f8")][at]) for i in range(len(langs))], 1) if langs else np.zeros((b - a, 0))
+                # A long text is summed over pieces that share two bytes, so that each trigram counts once.
+                cuts = range(0, max(1, len(data) - 2), CHUNK_BYTES) if b == a + 1 else [0]
+                parts = [sums(data[c : c + CHUNK_BYTES + 2], np.array([0, len(data[c : c + CHUNK_BYTES + 2])])) for c in cuts] if b == a + 1 else [sums(data, offsets)]
+                n, score = sum(p[0] for p in parts), sum(p[1] for p in parts)
                 score = score / np.maximum(n, 1)[:, None]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i)[a:b] for i in range(len(kept))), pa.array(n, pa.int64()), pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * len(langs), pa.array(score.ravel(), pa.float64()))],
-                    [*kept, "n_grams", "score"],
+                    [*(batch.column(i)[a:b] for i in range(batch.num_columns - 1)), pa.array(n, pa.int64()), pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * len(langs), pa.array(score.ravel(), pa.float64()))],
+                    [*names, "n_grams", "score"],
                 )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema.fields)
-    return rows.select(*kept, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")).mapInArrow(run, (schema + ", " if kept else "") + "n_grams long, score array<double>")
+    schema = StructType([*kept, StructField("n_grams", LongType()), StructField("score", ArrayType(DoubleType()))])
+    return rows.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("_text")).mapInArrow(run, schema)
 
 
 def host_levels(host: Column) -> Column:
@@ -112,43 +132,52 @@ def host_levels(host: Column) -> Column:
 def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", declared: str | None = None, suffix: str | None = None, host: str | None = None, name: str = "lang") -> DataFrame:
     """Add detected (language or null), confidence, text_ratio and rejected to every row.
 
-    Rows need not have a key. A null or unknown declaration, suffix or host says nothing. A text without
+    Rows need not have a key; repeated rows each get the same result. A null declaration or suffix, or
+    one that no row with a text has, says nothing; a null host is one host. Of languages that are as
+    likely the first by name is taken. A null text is empty. A text without
     trigrams has no evidence of its own: it is rejected, as is one that no language explains better than
     even odds, or whose best language is less likely than ``LEAST_CONFIDENCE``. The text column stays;
-    columns named as the added ones are replaced. No rows give no rows.
+    columns named as the added ones are replaced, all others stay, whatever their names. A very long
+    text is scored in pieces. No rows give no rows.
     """
     langs = model[0]
     added = ("detected", "confidence", "text_ratio", "rejected")
     rows = rows.drop(*added)
-    kept = [f"`{c}`" for c in rows.columns]
-    word = lambda c: F.when(F.lower(F.col(c)).isin(langs), F.lower(F.col(c))) if c else F.lit(None).cast("string")
+    kept = [f"row.`{c}`" for c in rows.columns]
+    value = lambda c: F.lower(F.col(f"`{c}`").cast("string")) if c else F.lit(None).cast("string")
     if not langs:
         return rows.select("*", F.lit(None).cast("string").alias("detected"), F.lit(0.0).alias("confidence"), F.lit(0.0).alias("text_ratio"), F.lit(True).alias("rejected"))
-    # Texts are scored twice, once for the counts and once for the result: that needs no shuffle of texts.
-    evidence = rows.withColumns({"_declared": word(declared), "_suffix": word(suffix), "_host": F.coalesce(F.col(host), F.lit("")) if host else F.lit(""), "_t": F.col(text)})
+    # The row's own columns travel in a struct, so that no name of theirs meets one of ours. Texts are
+    # scored twice, once for the counts and once for the result: that needs no shuffle of texts.
+    own = [F.col(f"`{text}`").alias("t"), value(declared).alias("declared"), value(suffix).alias("suffix"), F.coalesce(F.col(f"`{host}`").cast("string") if host else F.lit(""), F.lit("")).alias("host")]
     best = F.when(F.col("n_grams") > 0, F.array_position("score", F.array_max("score")).cast("int") - 1)
-    sure = score_text(evidence.select("_declared", "_suffix", "_host", "_t"), model, "_t").select("_declared", "_suffix", F.col("_host").alias("host"), best.alias("guess"))
-    sure = materialize(sure.filter("guess is not null"), f"{name}-guessed")
-
-    def trust(column: str) -> DataFrame:
-        """log P(column = value | language), smoothed; at most languages squared rows."""
-        n = sure.filter(F.col(column).isNotNull()).groupBy("guess", column).agg(F.count(F.lit(1)).alias("n")).collect()
-        table = np.full((len(langs), len(langs)), PRIOR_WEIGHT / len(langs) ** 2) + np.eye(len(langs)) * PRIOR_WEIGHT
-        for r in n:
-            table[r["guess"], langs.index(r[column])] += r["n"]
-        return np.log(table / table.sum(1, keepdims=True))
-
-    def weigh(column: str) -> Column:
-        table = trust(column)
-        out = F.array(*[F.lit(0.0)] * len(langs))
-        for j, lang in enumerate(langs):
-            out = F.when(F.col(column) == lang, F.array(*[F.lit(float(table[i, j])) for i in range(len(langs))])).otherwise(out)
-        return out
+    sure = score_text(rows.select(*own), model, "t").select("declared", "suffix", "host", best.alias("guess"))
+    sure = sure.filter("guess is not null").groupBy("declared", "suffix", "host", "guess").agg(F.count(F.lit(1)).alias("n"))
+    sure = materialize(sure, f"{name}-guessed")
+    zeros = F.array(*[F.lit(0.0)] * len(langs))
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+    def counts(df: DataFrame, *by: str) -> DataFrame:
+        """How many rows of each language, as an array, for each value of ``by``."""
+        each = [F.coalesce(F.sum(F.when(F.col("guess") == i, F.col("n"))), F.lit(0)).cast("double") for i in range(len(langs))]
+        return df.groupBy(*by).agg(F.array(*each).alias("counts"))
+
+    def likelihood(column: str) -> DataFrame:
+        """log P(column = value | language) for each value, smoothed to the value's share of all rows.
+
+        A value that is a language counts ``PRIOR_WEIGHT`` times for that language beforehand.
+        """
+        known = materialize(counts(sure.filter(F.col(column).isNotNull()), column), f"{name}-{column}")
+        total = known.agg(*(F.coalesce(F.sum(F.col("counts")[i]), F.lit(0.0)) for i in range(len(langs)))).first()  # one row
+        rest = sum(total) + PRIOR_WEIGHT
+        share = (F.aggregate("counts", F.lit(0.0), lambda s, x: s + x) + PRIOR_WEIGHT / len(langs)) / rest
+        said = [(F.col("counts")[i] + PRIOR_WEIGHT * share + F.when(F.col(column) == lang, PRIOR_WEIGHT).otherwise(0.0)) / (total[i] + 2 * PRIOR_WEIGHT) for i, lang in enumerate(langs)]
+        return small(materialize(known.select(column, F.array(*[F.log(x) for x in said]).alias(f"{column}_log")), f"{name}-{column}-log"))
 
     # Counts at each level, then priors from the top down.
-    counted = sure.groupBy("host", "guess").agg(F.count(F.lit(1)).alias("n"))
-    hosts = counted.groupBy("host").agg(F.array(*[F.coalesce(F.sum(F.when(F.col("guess") == i, F.col("n"))), F.lit(0)).cast("double") for i in range(len(langs))]).alias("counts"))
-    hosts = materialize(hosts.withColumn("levels", host_levels(F.col("host"))), f"{name}-hosts")
+    hosts = materialize(counts(sure, "host").withColumn("levels", host_levels(F.col("host"))), f"{name}-hosts")
     prior = hosts.select("host", "levels", F.array(*[F.lit(1.0 / len(langs))] * len(langs)).alias("prior"))
     for level in range(4):
         at = F.col("levels")[level].alias("at")
@@ -161,26 +190,31 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text: str = "
 
     trusted = F.least(F.col("n_grams"), F.lit(TRUSTED_GRAMS))
     even = F.array(*[F.lit(float(-np.log(len(langs))))] * len(langs))
-    if prior.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        prior = F.broadcast(prior)
+    add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
+    scored = score_text(rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), *own), model, "t").join(small(prior), "host", "left")
+    total = add(F.transform("score", lambda s: s * trusted), F.coalesce("prior", even))
+    for column, given in (("declared", declared), ("suffix", suffix)):
+        if given:
+            scored = scored.join(likelihood(column), column, "left")
+            total = add(total, F.coalesce(f"{column}_log", zeros))
     return (
-        score_text(evidence, model, "_t").join(prior.withColumnsRenamed({"host": "_host", "prior": "_prior"}), "_host", "left")
-        .withColumn("_sum", F.zip_with(F.zip_with(F.transform("score", lambda s: s * trusted), F.coalesce("_prior", even), lambda a, b: a + b), F.zip_with(weigh("_declared"), weigh("_suffix"), lambda a, b: a + b), lambda a, b: a + b))
-        .withColumn("_top", F.array_max("_sum"))
-        .withColumn("confidence", 1.0 / F.aggregate(F.transform("_sum", lambda s: F.exp(s - F.col("_top"))), F.lit(0.0), lambda a, b: a + b))
-        .withColumn("_best", F.array_position("_sum", F.col("_top")).cast("int") - 1)
-        .withColumn("text_ratio", F.col("score")[F.col("_best")])
-        .withColumn("detected", F.array(*[F.lit(x) for x in langs])[F.col("_best")])
+        scored.withColumn("sum", total).withColumn("top", F.array_max("sum"))
+        .withColumn("confidence", 1.0 / F.aggregate(F.transform("sum", lambda s: F.exp(s - F.col("top"))), F.lit(0.0), lambda a, b: a + b))
+        .withColumn("best", F.array_position("sum", F.col("top")).cast("int") - 1)
+        .withColumn("text_ratio", F.col("score")[F.col("best")])
+        .withColumn("detected", F.array(*[F.lit(x) for x in langs])[F.col("best")])
         .withColumn("rejected", (F.col("n_grams") == 0) | (F.col("text_ratio") <= LEAST_RATIO) | (F.col("confidence") < LEAST_CONFIDENCE))
         .select(*kept, *added)
     )
 
 
 def page_evidence(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """Add text, declared, suffix and host to pages: markup's lang, the address's country or language part."""
+    """Add text, declared, suffix and host to pages: markup's lang and the last label of the address's host.
+
+    Null html is empty; a url without a host has neither suffix nor host; columns named so are replaced.
+    """
     body = F.regexp_replace(F.coalesce(F.col(page), F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
-    host = F.lower(F.regexp_extract(F.col(url), r"://([^/?#:]*)", 1))
-    country = F.nullif(F.regexp_extract(host, r"\.([a-z]{2})$", 1), F.lit(""))
-    part = F.nullif(F.lower(F.regexp_extract(F.col(url), r"://[^/?#]*/([A-Za-z]{2})(?:[/?#]|$)", 1)), F.lit(""))
+    host = F.nullif(F.lower(F.regexp_extract(F.col(url), r"://([^/?#:]*)", 1)), F.lit(""))
+    suffix = F.nullif(F.regexp_extract(host, r"\.([^.]+)$", 1), F.lit(""))
     declared = F.nullif(F.lower(F.regexp_extract(F.col(page), r"""(?i)<html\b[^>]*\blang\s*=\s*["']?([A-Za-z]{2})""", 1)), F.lit(""))
-    return pages.withColumn("text", body).withColumn("declared", declared).withColumn("suffix", F.coalesce(country, part)).withColumn("host", host)
+    return pages.withColumns({"text": body, "declared": declared, "suffix": suffix, "host": host})

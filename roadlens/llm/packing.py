@@ -97,7 +97,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, vocabulary: str = VOCABULARY,
     schema = PIECE + (", ids binary" if ids else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, turn = encoder(vocabulary), TaskContext.get().partitionId()
+        encode, turn = encoder(vocabulary, special=True), TaskContext.get().partitionId()
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
             rows = [[] for _ in range(6 + ids)]
@@ -141,7 +141,12 @@ def place(cut: DataFrame, window: int = WINDOW, lots: int = 64) -> DataFrame:
 
 
 def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = VOCABULARY, ids: bool = False) -> DataFrame:
-    """Tokenize, cut and pack documents (doc_id, text): one row per piece with its place."""
+    """Tokenize, cut and pack documents (doc_id, text): one row per piece with its place.
+
+    Null and empty texts have the end id only. A very long text is tokenized whole in one task and then
+    cut. Rows that repeat a doc_id, null included, are packed each on its own; ties in length go by lot,
+    doc_id, start and ids. Extra columns are left out. No rows give no rows.
+    """
     lots = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return place(materialize(pieces(docs, window, vocabulary, lots, ids), "pack-pieces"), window, lots)
 

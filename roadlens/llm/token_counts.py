@@ -96,6 +96,11 @@ def scan(files: DataFrame, separator: int = SEPARATOR, block_ids: int = BLOCK_ID
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Write documents as token files and count them by a scan: doc_id, n_tokens, file, start."""
+    """Write documents as token files and count them by a scan: doc_id, n_tokens, file, start.
+
+    Null and empty texts have no tokens. The separator's string inside a text is ordinary text, so it
+    never ends a document early. Rows that repeat a doc_id, null included, are counted each on its own;
+    a very long text spans blocks. Extra columns are left out. No rows give no rows.
+    """
     manifest = write_token_files(docs, vocabulary=vocabulary)
     return manifest.join(scan(manifest.select("file")), ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "start")

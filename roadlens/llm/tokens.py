@@ -1,4 +1,9 @@
-"""Byte-level BPE ids inside tasks, with a bounded cache of pieces between white space."""
+"""Byte-level BPE ids inside tasks, with a bounded cache of pieces between white space.
+
+Texts that hold the string of a special token go through ``tokenizers``, which gives it one id; without
+such a string both libraries give the same ids. A separator of token files must not occur inside a
+text, so there (``special`` false) the string is ordinary text.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,8 @@ import re
 
 import public_tokenizers
 
-VOCABULARY = "byte_bpe_50k.tiktoken"  # the ranks of byte_bpe_50k.json
+VOCABULARY = "byte_bpe_50k"  # .json for tokenizers, .tiktoken has the same ranks
+SPECIAL = "<|endoftext|>"
 SEPARATOR = 50256
 CACHE_PIECES = 300_000
 
@@ -29,23 +35,26 @@ class _Cache(dict):
         return found
 
 
-def encoder(vocabulary: str = VOCABULARY):
+def encoder(vocabulary: str = VOCABULARY, special: bool = False):
     """A function from a text to its ids as little-endian unsigned 32-bit bytes. One per worker."""
-    if vocabulary not in _HELD:
+    if (vocabulary, special) not in _HELD:
         import numpy as np
         import tiktoken
+        from tokenizers import Tokenizer
 
-        path = public_tokenizers.path(vocabulary)
-        with open(path, "rb") as lines:
+        with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         bpe = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        exact = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json")) if special else None
         whole = lambda text: np.array(bpe.encode_ordinary(text), "<u4").tobytes()
         cache = _Cache(whole)
 
         def encode(text: str) -> bytes:
+            if special and SPECIAL in text:
+                return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             if _DOUBLED.search(text):
                 return whole(text)
             return b"".join(map(cache.__getitem__, _PIECES.split(text)))
 
-        _HELD[vocabulary] = encode
-    return _HELD[vocabulary]
+        _HELD[vocabulary, special] = encode
+    return _HELD[vocabulary, special]

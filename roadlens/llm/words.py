@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 18  # arrays of several 8-byte numbers a byte are made of a chunk
 _RNG = np.random.default_rng(20240917)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -30,7 +30,8 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
     """(first row, end row, bytes, offsets) of consecutive rows; one long text is a chunk of its own."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("")
+    if column.null_count:
+        column = column.fill_null("")
     wide = pa.types.is_large_string(column.type)
     offsets = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
@@ -82,6 +83,9 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words between ASCII white space, A-Z lower-cased, and the row of each word."""
+    if len(offsets) == 2 and len(data) > CHUNK_BYTES:
+        words = np.concatenate([word_hashes(part, np.array([0, len(part)]))[0] for part in _pieces(data)])
+        return words, np.zeros(len(words), np.int64)
     lower = _LOWER[data]
     solid = ~_SPACE[lower]
     edge = np.zeros(len(data) + 1, bool)
@@ -93,6 +97,21 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return span_hashes(prefix_hashes(lower), start, end), np.searchsorted(offsets, start, "right") - 1
 
 
+def _pieces(data: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[np.ndarray]:
+    """One long text in pieces that end at white space; a word is never cut, however long it is."""
+    at = 0
+    while at < len(data):
+        end = min(len(data), at + limit)
+        while end < len(data):
+            gap = np.flatnonzero(_SPACE[data[end : end + limit]])
+            if len(gap):
+                end += int(gap[0])
+                break
+            end = min(len(data), end + limit)
+        yield data[at:end]
+        at = end
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> list[np.ndarray]:
     """For each row the sorted distinct hashes of its shingles of ``size`` words.
 
