@@ -27,6 +27,7 @@ BINS, BANDS = 128, 32
 WORDS = 5
 THRESHOLD = 80  # per cent
 _DRAWS = 256
+BINS_OF_ALLOWED = 8
 _ODD = np.random.default_rng(7).integers(1, 2**63, BINS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -78,12 +79,13 @@ def _signatures(words: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[a:b],
+                        batch.column(2)[a:b],
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([s[0] for s in sums], pa.int64()),
                         pa.array([s[1] for s in sums], pa.int64()),
                         pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * BANDS, pa.array(keys.ravel())),
                     ],
-                    ["doc_id", "n_shingles", "sum1", "sum2", "bands"],
+                    ["doc_id", "h", "n_shingles", "sum1", "sum2", "bands"],
                 )
 
     return run
@@ -107,23 +109,26 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, words: int = WO
     Two documents are linked if 100 * common >= threshold * joint over their sets of shingles. A
     component's least doc_id is kept. Null or empty text has an empty set and is linked with nothing.
     A null doc_id is linked with nothing: component_id is null, kept is true. Rows that repeat a doc_id
-    count as one document. Order, ties and extra columns make no difference; no rows give no rows.
+    are one document, whose text is that of the row with the least text hash; n_shingles is each row's
+    own. Order, ties and extra columns make no difference; a very long text is hashed in pieces; no rows
+    give no rows.
     """
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = materialize(text.mapInArrow(_signatures(words), "doc_id long, n_shingles long, sum1 long, sum2 long, bands array<long>"), f"{name}-signed")
-    named = signed.filter("n_shingles > 0 and doc_id is not null")
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    signed = materialize(text.mapInArrow(_signatures(words), "doc_id long, h long, n_shingles long, sum1 long, sum2 long, bands array<long>"), f"{name}-signed")
     by = ["n_shingles", "sum1", "sum2"]
-    classes = named.groupBy(*by).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    equal = named.select("doc_id", *by).join(classes.filter("copies > 1"), by).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a <> b")
-    reps = named.join(classes.select(*by, F.col("rep").alias("doc_id")), ["doc_id", *by], "left_semi").dropDuplicates(["doc_id"])
-
-    banded = reps.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
+    named = signed.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("h", *by)).alias("m")).select("doc_id", "m.*").filter("n_shingles > 0")
+    classes = named.groupBy(*by).agg(F.min(F.struct("doc_id", "h")).alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = materialize(classes.select(*by, "rep.*", "copies"), f"{name}-classes")
+    repeated = classes.filter("copies > 1").select(*by, F.col("doc_id").alias("b"))
+    equal = named.select(F.col("doc_id").alias("a"), *by).join(repeated, by).select("a", "b").filter("a <> b")
+    reps = signed.join(classes.select("doc_id", "h"), ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id"])
+
+    banded = reps.select("doc_id", "h", "n_shingles", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = materialize(banded.join(shared, "bucket"), f"{name}-members")
-    ids = members.select("doc_id").distinct()
-    sets = materialize(
-        text.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(words), "doc_id long, own array<long>"), f"{name}-sets"
-    )
+    ids = members.select("doc_id", "h").distinct()
+    chosen = text.join(ids, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "text")
+    sets = materialize(chosen.mapInArrow(_sets(words), "doc_id long, own array<long>"), f"{name}-sets")
     linked = _star_edges(members, sets, threshold, name).unionByName(equal)
     comp = components(linked, name=f"{name}-components")
     return (
@@ -181,43 +186,53 @@ def _star_edges(members: DataFrame, sets: DataFrame, threshold: int, name: str)
 def _around(near: DataFrame, edges: DataFrame, sets: DataFrame, tested: DataFrame, threshold: int, name: str) -> DataFrame:
     """Edges between each centre and its members (centre, doc_id), and among members that edges don't connect yet.
 
-    With D(x) the elements in which x and the centre differ, x and y differ in |D(x)| + |D(y)| - 2 *
-    common elements. So a link between an x that the centre isn't linked with and any y needs a common
-    element, and at least max(|D(x)|, |D(y)|) - L of them, where a link allows L differences. Then the
-    L + 1 rarest elements of D(x) meet those of D(y): an index on these finds the pairs, and how many
-    of them meet bounds the common elements. L is at most
-    size * (100 - threshold) / threshold for either side. Members that a path of known links connects,
-    those to the centre included, need no more links.
+    With D(x) the n(x) elements in which x and the centre differ, x and y differ in n(x) + n(y) - 2 *
+    common elements, and a link allows at most L = size * (100 - threshold) / threshold differences, with
+    the size of either. So x and y need c = (n(x) + n(y) - L) / 2 common elements: with one order of the
+    elements, the first of them lies among the first |D| - c + 1 elements of both. The other side's n
+    is known by its bin, which is part of the key, so each side holds back as many elements as that bin
+    asks for; where a side has fewer shared elements than c, it has no row for the bin at all. Rare
+    elements come first, those of one document only aren't held. How many kept elements meet
+    bounds the common ones again. Only an x that the centre isn't linked with needs a partner here, as
+    members that a path of known links connects need no more links.
     """
+    ratio = (100 - threshold) / threshold
     left = sets.select(F.col("doc_id").alias("centre"), F.col("own").alias("own_c"))
     differ = near.join(left, "centre").join(sets, "doc_id").withColumn("delta", F.concat(F.array_except("own", "own_c"), F.array_except("own_c", "own")))
     joint = (F.size("own") + F.size("own_c") + F.size("delta")) / 2
+    width = F.greatest(F.lit(1), F.floor(F.size("own_c") * ratio / BINS_OF_ALLOWED)).cast("int")  # the same for all of a centre
     differ = materialize(
-        differ.select("centre", "doc_id", "delta", F.size("own").alias("size"), (100 * (joint - F.size("delta")) >= threshold * joint).alias("linked")), f"{name}-differ"
+        differ.select("centre", "doc_id", "delta", F.size("own").alias("size"), width.alias("width"), (100 * (joint - F.size("delta")) >= threshold * joint).alias("linked")), f"{name}-differ"
     )
     own = differ.filter("linked").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b"))
     comp = components(edges.unionByName(own), name=f"{name}-second").select(F.col("id").alias("doc_id"), "component")
     apart = materialize(differ.select("centre", "doc_id").join(comp, "doc_id", "left").select("centre", "doc_id", F.coalesce("component", "doc_id").alias("comp")), f"{name}-apart")
     open_ = apart.groupBy("centre").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("centre")
-    differ = differ.join(apart.join(open_, "centre", "left_semi"), ["centre", "doc_id"])
-    elements = differ.select("centre", "doc_id", "comp", "linked", "size", F.size("delta").alias("n"), F.explode("delta").alias("e"))
-    common = elements.groupBy("centre", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-    shared = materialize(elements.join(common, ["centre", "e"]), f"{name}-shared")
-    # Elements of one document only come first in the order and can't meet: they use up places.
-    places = F.expr(f"greatest(0, least(n, cast(floor(size * {100 - threshold} / {threshold}) as int) + 1) - (n - size(own)))")
-    rare = (
-        shared.groupBy("centre", "doc_id", "comp", "linked", "n", "size").agg(F.sort_array(F.collect_list(F.struct("often", "e"))).alias("own"))
-        .select("centre", "doc_id", "comp", "linked", "n", "size", (F.size("own") - places).alias("rest"), F.explode(F.slice("own", F.lit(1), places)).alias("o"))
-        .select("centre", "doc_id", "comp", "linked", "n", "size", "rest", F.col("o.e").alias("e"))
-    )
-    rare = materialize(rare, f"{name}-rare")
-    side = ["doc_id", "comp", "n", "size", "rest"]
-    far = rare.filter("not linked").select("centre", "e", *(F.col(c).alias(f"{c}_x") for c in side))
-    allowed = F.expr(f"least(size, size_x) * {100 - threshold} / {threshold}")
+    differ = differ.join(apart.join(open_, "centre", "left_semi"), ["centre", "doc_id"]).withColumn("n", F.size("delta")).withColumn("bin", F.expr("n div width").cast("int"))
+    differ = materialize(differ, f"{name}-open")
+    elements = differ.select("centre", "doc_id", F.explode("delta").alias("e"))
+    common = materialize(elements.groupBy("centre", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), f"{name}-common")
+    ordered = elements.join(common, ["centre", "e"]).groupBy("centre", "doc_id").agg(F.sort_array(F.collect_list(F.struct("often", "e"))).alias("own"))
+    side = ["doc_id", "comp", "n", "size"]
+    # Bins are few: a link allows as many differences as BINS_OF_ALLOWED of them, and no D is larger than both sets.
+    bins = differ.groupBy("centre").agg(F.collect_set("bin").alias("bins"), F.collect_set(F.when(~F.col("linked"), F.col("bin"))).alias("far_bins"))
+    held = materialize(ordered.join(differ.select("centre", "linked", "width", "bin", *side), ["centre", "doc_id"]).join(bins, "centre"), f"{name}-held")
+
+    def kept(rows: DataFrame, other: str) -> DataFrame:
+        """The elements that each row keeps for each bin of the other side."""
+        rows = rows.withColumn("other", F.explode(other)).withColumn("need", F.greatest(F.lit(1), F.ceil((F.col("n") + F.col("other") * F.col("width") - F.col("size") * ratio) / 2 - 0.001).cast("int")))
+        # What lies beyond the other side's n can't be common either.
+        rows = rows.filter((F.col("need") <= F.size("own")) & (F.col("need") < (F.col("other") + 1) * F.col("width")))
+        places = F.size("own") - F.col("need") + 1
+        return rows.select("centre", "bin", "other", *side, (F.col("need") - 1).alias("rest"), F.explode(F.transform(F.slice("own", F.lit(1), places), lambda o: o["e"])).alias("e"))
+
+    far = kept(held.filter("not linked"), "bins").select("centre", "e", F.col("bin").alias("bin_x"), F.col("other").alias("bin"), *(F.col(c).alias(f"{c}_x") for c in (*side, "rest")))
+    rare = kept(held, "far_bins").withColumnRenamed("other", "bin_x")
+    allowed = F.least("size", "size_x") * ratio
     fits = (F.col("doc_id") != F.col("doc_id_x")) & (F.col("comp") != F.col("comp_x")) & (100 * F.least("size", "size_x") >= threshold * F.greatest("size", "size_x"))
-    # Common elements are those met and, beyond the rarest ones of the side whose places end first, what is left of it.
+    # Common elements are those met and, beyond the kept ones of the side whose places end first, what is left of it.
     met = (
-        rare.join(far, ["centre", "e"]).filter(fits & (F.abs(F.col("n") - F.col("n_x")) <= allowed + 0.001))
+        rare.join(far, ["centre", "e", "bin", "bin_x"]).filter(fits & (F.abs(F.col("n") - F.col("n_x")) <= allowed + 0.001))
         .groupBy("centre", "doc_id", "doc_id_x").agg(F.count(F.lit(1)).alias("met"), *(F.first(c).alias(c) for c in ("n", "size", "rest", "n_x", "size_x", "rest_x")))
         .filter(F.col("n") + F.col("n_x") - 2 * (F.col("met") + F.greatest("rest", "rest_x")) <= allowed + 0.001)
     )
