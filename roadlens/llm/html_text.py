@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from roadlens.llm.words import small_batches, trimmed
+
 # Elements and name parts.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 RAW = "script|style|noscript|template|svg|iframe|object|canvas|math|title|textarea|select"
@@ -188,6 +190,7 @@ def extract(pages: DataFrame, page: str = "html", text: str = "text", labelled:
     Repeated rows each get the same result. No rows give no rows.
     """
     tree = grow(labelled or LABELLED)
+    pages = small_batches(pages)
     # The page's own columns travel in a struct, so that none meets a name of ours.
     own = F.struct(F.lit(None).cast("int").alias("_"), *[F.col(f"`{c}`") for c in pages.columns if c != text])
     given = pages.select(own.alias("row"), F.col(f"`{page}`").cast("string").alias("page"))
@@ -197,5 +200,5 @@ def extract(pages: DataFrame, page: str = "html", text: str = "text", labelled:
             found = [main_text(x.as_py() or "", tree) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["row", "text"])
 
-    out = given.mapInArrow(run, StructType([given.schema["row"], StructField("text", StringType())]))
+    out = given.mapInArrow(trimmed(run), StructType([given.schema["row"], StructField("text", StringType())]))
     return out.select(*[F.col(f"row.`{c}`") for c in pages.columns if c != text], F.col("text").alias(text))

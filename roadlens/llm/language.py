@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from roadlens.llm.words import CHUNK_BYTES, mix, text_chunks
+from roadlens.llm.words import CHUNK_BYTES, mix, small_batches, text_chunks, trimmed
 from roadlens.session import materialize
 
 #: Rows of each language that the text model is fitted on, about; whole texts of these rows.
@@ -58,7 +58,7 @@ def fit_text_model(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple
     text or language are not. What comes to the driver is at most languages x buckets counts; labels of
     over ``MOST_LANGUAGES`` values are not languages and are refused.
     """
-    rows = labelled.select("id", "lang", "text").filter("lang is not null and text is not null")
+    rows = small_batches(labelled).select("id", "lang", "text").filter("lang is not null and text is not null")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     if sizes.limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
@@ -75,7 +75,7 @@ def fit_text_model(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple
                     at = np.flatnonzero(found)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(found[at], pa.int64())], ["lang", "bucket", "n"])
 
-    counts = chosen.select("lang", "text").mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = chosen.select("lang", "text").mapInArrow(trimmed(count), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(counts["lang"].unique())
     table = np.full((len(langs), BUCKETS), SMOOTHING)
     for i, lang in enumerate(langs):
@@ -89,7 +89,7 @@ def score_text(rows: DataFrame, model: tuple[list[str], np.ndarray], text: str =
 
     Columns that are already named so are replaced.
     """
-    rows = rows.drop(*{"n_grams", "score"} - {text})
+    rows = small_batches(rows).drop(*{"n_grams", "score"} - {text})
     langs, table = model
     kept = rows.drop(text).schema.fields
     names = [f.name for f in kept]
@@ -118,7 +118,7 @@ def score_text(rows: DataFrame, model: tuple[list[str], np.ndarray], text: str =
                 )
 
     schema = StructType([*kept, StructField("n_grams", LongType()), StructField("score", ArrayType(DoubleType()))])
-    return rows.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("_text")).mapInArrow(run, schema)
+    return rows.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("_text")).mapInArrow(trimmed(run), schema)
 
 
 def host_levels(host: Column) -> Column:

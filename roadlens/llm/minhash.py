@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from roadlens.llm.words import mix, shingles, text_chunks
+from roadlens.llm.words import mix, shingles, small_batches, text_chunks, trimmed
 from roadlens.operators.components import components
 from roadlens.session import materialize
 
@@ -113,8 +113,8 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, words: int = WO
     own. Order, ties and extra columns make no difference; a very long text is hashed in pieces; no rows
     give no rows.
     """
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
-    signed = materialize(text.mapInArrow(_signatures(words), "doc_id long, h long, n_shingles long, sum1 long, sum2 long, bands array<long>"), f"{name}-signed")
+    text = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    signed = materialize(text.mapInArrow(trimmed(_signatures(words)), "doc_id long, h long, n_shingles long, sum1 long, sum2 long, bands array<long>"), f"{name}-signed")
     by = ["n_shingles", "sum1", "sum2"]
     named = signed.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("h", *by)).alias("m")).select("doc_id", "m.*").filter("n_shingles > 0")
     classes = named.groupBy(*by).agg(F.min(F.struct("doc_id", "h")).alias("rep"), F.count(F.lit(1)).alias("copies"))
@@ -128,7 +128,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, words: int = WO
     members = materialize(banded.join(shared, "bucket"), f"{name}-members")
     ids = members.select("doc_id", "h").distinct()
     chosen = text.join(ids, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "text")
-    sets = materialize(chosen.mapInArrow(_sets(words), "doc_id long, own array<long>"), f"{name}-sets")
+    sets = materialize(chosen.mapInArrow(trimmed(_sets(words)), "doc_id long, own array<long>"), f"{name}-sets")
     linked = _star_edges(members, sets, threshold, name).unionByName(equal)
     comp = components(linked, name=f"{name}-components")
     return (

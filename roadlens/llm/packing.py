@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from roadlens.llm.tokens import VOCABULARY, encoder
+from roadlens.llm.words import small_batches, trimmed
 from roadlens.session import materialize
 
 WINDOW = 1024
@@ -113,7 +114,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, vocabulary: str = VOCABULARY,
             names = [x.split()[0] for x in schema.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(trimmed(cut), schema)
 
 
 def place(cut: DataFrame, window: int = WINDOW, lots: int = 64) -> DataFrame:

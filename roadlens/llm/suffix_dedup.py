@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from roadlens.llm.words import CHUNK_BYTES, mix, prefix_hashes, span_hashes, word_bounds
+from roadlens.llm.words import CHUNK_BYTES, mix, prefix_hashes, small_batches, span_hashes, trimmed, word_bounds
 from roadlens.session import discard, materialize
 
 LENGTH = 400
@@ -238,7 +238,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix",
     text = F.col("text") if dict(texts.dtypes)["text"] == "binary" else F.col("text").cast("string")
     data = texts.select(F.col("key").cast("string"), text)
     more = F.min("key") < F.max("key") if across else F.count(F.lit(1)) > 1
-    now = materialize(data.mapInArrow(_first(length), RANGE), f"{name}-0")
+    now = materialize(data.mapInArrow(trimmed(_first(length)), RANGE), f"{name}-0")
     spans, held = None, None
     row, hull = ["key", "anchor", "lo", "hi"], ["hull", "more"]
     parts = max(8, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -269,7 +269,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix",
         if turn == 0:
             ranges = open_.groupBy("key").agg(F.collect_list(F.struct("anchor", "lo", "hi", "core", "small")).alias("r"))
             carried = data.join(ranges, "key").dropDuplicates(["key"]).select("key", "text", "r")
-            rows = carried.mapInArrow(_slice(length), "core long, key string, anchor long, lo int, hi int, bytes binary, small boolean")
+            rows = carried.mapInArrow(trimmed(_slice(length)), "core long, key string, anchor long, lo int, hi int, bytes binary, small boolean")
         else:
             inside = (F.col("lo") >= F.col("low")) & (F.col("hi") <= F.col("high"))
             cut = F.expr(f"substring(bytes, high - hi + 1, hi - lo + {length})")
@@ -277,13 +277,13 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix",
             rows = open_.withColumn("place", place).join(held, ["key", "anchor", "place"]).filter(inside).select("core", *row, cut.alias("bytes"), "small")
         rows = materialize(rows, f"{name}-held")
         grouped = rows.filter("small").drop("small").repartition(parts, "core").sortWithinPartitions("core")
-        spans = spans.unionByName(materialize(grouped.mapInArrow(_expand(width, length, across), "key string, start long, end long"), f"{name}-expanded"))
+        spans = spans.unionByName(materialize(grouped.mapInArrow(trimmed(_expand(width, length, across)), "key string, start long, end long"), f"{name}-expanded"))
         large = rows.filter("not small")
         if large.isEmpty():
             return spans
         if turn == 0:
             held = large.select("key", "anchor", F.expr(f"lo div {WIDTHS[0]}").alias("place"), F.col("lo").alias("low"), F.col("hi").alias("high"), "bytes")
-        now = materialize(large.select(*row, "bytes").mapInArrow(_narrower(WIDTHS[turn + 1], length), RANGE), f"{name}-{turn + 1}")
+        now = materialize(large.select(*row, "bytes").mapInArrow(trimmed(_narrower(WIDTHS[turn + 1], length)), RANGE), f"{name}-{turn + 1}")
     return spans
 
 
@@ -373,7 +373,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     With ``words``, removed too is each passage of so many words (between ASCII white space, equal in
     every byte) that a row with another key or text also holds, with the white space inside it.
     """
-    docs = docs.drop(*ADDED)
+    docs = small_batches(docs).drop(*ADDED)
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     # Long texts only can hold a string; a row is named by its key and text. Its own columns travel in a
     # struct, so that none of their names meets one of ours.
@@ -385,7 +385,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     if words:
         # A passage has at least a byte a word and one between two.
         worded = keyed.filter(F.octet_length("text") >= 2 * words - 1).select("key", "text")
-        codes = materialize(worded.dropDuplicates(["key"]).mapInArrow(_codes, "key string, text binary").filter(F.octet_length("text") >= CODE * words), f"{name}-codes")
+        codes = materialize(worded.dropDuplicates(["key"]).mapInArrow(trimmed(_codes), "key string, text binary").filter(F.octet_length("text") >= CODE * words), f"{name}-codes")
         passages = repeated_spans(codes, CODE * words, f"{name}-words", across=True).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("passages"))
         joined = joined.join(passages, "key", "left")
     else:
@@ -393,5 +393,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     joined = joined.select("row", "text", "spans", "passages")
     types = (BinaryType(), StringType(), LongType(), LongType(), LongType(), StringType())
     schema = StructType([joined.schema["row"], *(StructField(c, t) for c, t in zip(ADDED, types, strict=True))])
-    out = joined.mapInArrow(lambda batches: _remove(batches, words), schema)
+    out = joined.mapInArrow(trimmed(lambda batches: _remove(batches, words)), schema)
     return out.select(*[F.col(f"row.`{c}`") for c in docs.columns], *ADDED)

@@ -17,6 +17,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
 from roadlens.llm.tokens import SEPARATOR, VOCABULARY, encoder
+from roadlens.llm.words import small_batches, trimmed
 from roadlens.session import materialize, shared_dir
 
 BLOCK_IDS = 4_000_000
@@ -47,7 +48,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocabulary: st
         if out is not None:
             out.close()
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(write, "file string, ordinal long, doc_id long")
+    rows = small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(trimmed(write), "file string, ordinal long, doc_id long")
     return materialize(rows, "token-manifest")
 
 

@@ -15,7 +15,7 @@ import public_tokenizers
 VOCABULARY = "byte_bpe_50k"  # .json for tokenizers, .tiktoken has the same ranks
 SPECIAL = "<|endoftext|>"
 SEPARATOR = 50256
-CACHE_PIECES = 300_000
+CACHE_PIECES = 100_000
 
 _HELD: dict = {}
 # A piece starts at each blank or line feed. Where white space is never doubled, the pre-tokenizer
@@ -45,13 +45,15 @@ def encoder(vocabulary: str = VOCABULARY, special: bool = False):
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         bpe = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        exact = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json")) if special else None
+        exact: list = []  # made when a text first needs it
         whole = lambda text: np.array(bpe.encode_ordinary(text), "<u4").tobytes()
         cache = _Cache(whole)
 
         def encode(text: str) -> bytes:
             if special and SPECIAL in text:
-                return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                if not exact:
+                    exact.append(Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json")))
+                return np.array(exact[0].encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             if _DOUBLED.search(text):
                 return whole(text)
             return b"".join(map(cache.__getitem__, _PIECES.split(text)))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 1 << 18  # arrays of several 8-byte numbers a byte are made of a chunk
 _RNG = np.random.default_rng(20240917)
@@ -19,6 +21,32 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _ODD = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+#: Rows of an Arrow batch at most: a worker holds a batch of whole texts and what it makes of them.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Let the session send texts to Python workers in small batches; returns df."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, after which the worker, which waits for other tasks, gives free memory back."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits that spreads every input bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
