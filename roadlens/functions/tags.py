@@ -100,8 +100,8 @@ def canonical_json(tags: Column) -> Column:
 
 
 def content_id(*parts: Column, length: int = 16) -> Column:
-    """The first hex digits of a sha256 over parts joined by U+001F."""
-    return F.substring(F.sha2(F.concat_ws("\x1f", *parts), 256), 1, length)
+    """The first hex digits of a sha256 over parts joined by U+001F; a null part is U+0000."""
+    return F.substring(F.sha2(F.concat_ws("\x1f", *(F.coalesce(p.cast("string"), F.lit("\x00")) for p in parts)), 256), 1, length)
 
 
 def movement_class(angle: Column) -> Column:

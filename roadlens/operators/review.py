@@ -10,9 +10,10 @@ def question_key(rule: Column, *parts: Column) -> Column:
     return F.sha2(F.to_json(F.struct(rule.alias("rule"), *(p.alias(f"p{i}") for i, p in enumerate(parts)))), 256)
 
 
-def decided(findings: DataFrame, decisions: DataFrame, key: str, status: str) -> DataFrame:
-    """Findings with their decision's status, or undecided."""
-    return findings.join(decisions.select(key, F.col(status).alias("_s")), key, "left").withColumn("status", F.coalesce("_s", F.lit("undecided"))).drop("_s")
+def decided(findings: DataFrame, decisions: DataFrame, key: str, status: str, order: str | None = None) -> DataFrame:
+    """Findings with their decision's status, or undecided; of several decisions on one the last by ``order``, else the greatest status."""
+    last = F.max_by(status, order) if order else F.max(status)
+    return findings.join(decisions.groupBy(key).agg(last.alias("_s")), key, "left").withColumn("status", F.coalesce("_s", F.lit("undecided"))).drop("_s")
 
 
 def decided_by_question(reviewed: DataFrame, before: DataFrame, decisions: DataFrame, key: str, question: str, status: str) -> DataFrame:
@@ -28,8 +29,9 @@ def decided_by_question(reviewed: DataFrame, before: DataFrame, decisions: DataF
 
 def version_diff(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Ids that were added or removed between two versions."""
-    added = after.select(key).exceptAll(before.select(key)).distinct().withColumn("change", F.lit("added"))
-    removed = before.select(key).exceptAll(after.select(key)).distinct().withColumn("change", F.lit("removed"))
+    a, b = before.select(key).distinct(), after.select(key).distinct()
+    added = b.join(a, key, "left_anti").withColumn("change", F.lit("added"))
+    removed = a.join(b, key, "left_anti").withColumn("change", F.lit("removed"))
     return added.unionByName(removed)
 
 

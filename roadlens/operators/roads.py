@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadlens.operators.components import components
+from roadlens.session import materialize
 
 
 def ordered_nodes(rows: DataFrame, way: str, node: str, order: list[str]) -> DataFrame:
@@ -54,6 +57,7 @@ def component_summary(pairs: DataFrame, way: str, highways: DataFrame | None = N
     With highways (way, highway) also how many ways of each highway, sorted by name; ways without one
     are '<missing>', ways without a row are left out. Numbering sorts the components in one task.
     """
+    pairs = materialize(pairs.select("u", "v", way), "summary-pairs")
     comp = weak_components(pairs)
     sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("n_nodes"))
     edges = pairs.join(comp.withColumnRenamed("id", "u"), "u").groupBy("component").agg(F.count(F.lit(1)).alias("n_edges"), F.count_distinct(way).alias("n_ways"))
@@ -73,17 +77,20 @@ def readiness(errors: Column, missing: Column) -> Column:
 
 def flood(pairs: DataFrame, sources: DataFrame, upstream: bool = False, limit: int = 10_000) -> DataFrame:
     """(id, hops) that can be reached from sources (id) along u -> v, or against it."""
-    from roadlens.session import discard, materialize
-
     a, b = ("v", "u") if upstream else ("u", "v")
     edges = pairs.select(F.col(a).alias("id"), F.col(b).alias("to")).distinct()
-    seen = front = materialize(sources.select("id").distinct().withColumn("hops", F.lit(0)), "flood")
+    edges = materialize(edges, "flood-edges")
+    front = materialize(sources.select("id").distinct().withColumn("hops", F.lit(0)), "flood-front")
+    # Each hop is one table; tables of as many hops are put together now and then, so that what has been
+    # seen is written a few times and not once a hop.
+    seen = [front]
     for hop in range(1, limit):
-        reached = front.join(edges, "id").select(F.col("to").alias("id")).distinct().join(seen, "id", "left_anti")
+        known = reduce(DataFrame.unionByName, seen)
+        reached = front.join(edges, "id").select(F.col("to").alias("id")).distinct().join(known, "id", "left_anti")
         front = materialize(reached.withColumn("hops", F.lit(hop)), "flood-front")
         if front.isEmpty():
-            return seen
-        grown = materialize(seen.unionByName(front), "flood")
-        discard(seen) if hop > 1 else None
-        seen = grown
+            return known
+        seen.append(front)
+        if len(seen) > 24:
+            seen = [materialize(reduce(DataFrame.unionByName, seen), "flood")]
     raise RuntimeError(f"no end after {limit} hops")

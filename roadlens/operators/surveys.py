@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def calibration_surface(rows: DataFrame, speed: str, pedal: str, value: str) -> DataFrame:
-    """Mean, count and largest absolute value of each (speed, pedal) cell."""
-    return rows.groupBy(speed, pedal).agg(F.avg(value).alias("mean"), F.count(value).alias("n"), F.max(F.abs(value)).alias("largest"))
+def calibration_surface(rows: DataFrame, speed: str, pedal: str, value: str, before: str) -> DataFrame:
+    """Mean, count and drift of each (speed, pedal) cell; drift is how far a speed ``before`` was from the cell's at most."""
+    return rows.groupBy(speed, pedal).agg(F.avg(value).alias("mean"), F.count(value).alias("n"), F.max(F.abs(F.col(before) - F.col(speed))).alias("drift"))
 
 
 def fill_nearest(cells: DataFrame, speed: str, pedal: str, value: str) -> DataFrame:

@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def gaps(rows: DataFrame, keys: list[str], stamp_us: Column, ties: list[str]) -> DataFrame:
-    """Add gap_ms, the time since the message before in the same channel."""
-    w = Window.partitionBy(*keys).orderBy("_us", *ties)
-    return rows.withColumn("_us", stamp_us).withColumn("gap_ms", (F.col("_us") - F.lag("_us").over(w)) / 1000.0).drop("_us")
+def gaps(rows: DataFrame, keys: list[str], stamp_us: Column, ties: list[str], slot_us: int = 3_600_000_000) -> DataFrame:
+    """Add gap_ms, the time since the message before in the same channel.
+
+    A channel is cut into slots of time, so that a busy one is many windows; the first message of a slot
+    takes its predecessor from a table with one row for each channel and slot.
+    """
+    dealt = rows.withColumn("_us", stamp_us).withColumn("_slot", F.floor(F.col("_us") / slot_us))
+    w = Window.partitionBy(*keys, "_slot").orderBy("_us", *ties)
+    ends = dealt.groupBy(*keys, "_slot").agg(F.max("_us").alias("_last"))
+    ends = ends.withColumn("_before", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slot"))).drop("_last")
+    joined = dealt.withColumn("_own", F.lag("_us").over(w)).join(ends, [*keys, "_slot"])
+    return joined.withColumn("gap_ms", (F.col("_us") - F.coalesce("_own", "_before")) / 1000.0).select(*rows.columns, "gap_ms")
 
 
 def rates(rows: DataFrame, keys: list[str], stamp_us: Column) -> DataFrame:
@@ -31,12 +39,17 @@ def completeness(rows: DataFrame, frame: list[str], topic: str, expected: list[s
     return out.withColumn("missing", F.sort_array(F.array_except(F.array(*map(F.lit, expected)), "_t"))).drop("_t")
 
 
-def runs(rows: DataFrame, keys: list[str], order: list[str], flag: Column, least: int = 1) -> DataFrame:
-    """Runs of at least so many flagged rows (gaps and islands): keys, run, n_rows."""
+def runs(rows: DataFrame, keys: list[str], order: list[str], flag: Column, least: int = 1, along: str | None = None, metres: float = 0.0) -> DataFrame:
+    """Runs of at least so many flagged rows (gaps and islands): keys, run, n_rows.
+
+    With ``along``, the running length, also length, and runs of under so many metres are left out.
+    """
     w = Window.partitionBy(*keys).orderBy(*order)
     marked = rows.withColumn("_f", F.coalesce(flag, F.lit(False))).withColumn("_r", F.row_number().over(w))
     marked = marked.withColumn("_i", F.col("_r") - F.row_number().over(Window.partitionBy(*keys, "_f").orderBy(*order))).filter("_f")
-    return marked.groupBy(*keys, "_i").agg(F.min("_r").alias("run"), F.count(F.lit(1)).alias("n_rows")).drop("_i").filter(F.col("n_rows") >= least)
+    length = [(F.max(along) - F.min(along)).alias("length")] if along else []
+    out = marked.groupBy(*keys, "_i").agg(F.min("_r").alias("run"), F.count(F.lit(1)).alias("n_rows"), *length).drop("_i").filter(F.col("n_rows") >= least)
+    return out.filter(F.col("length") >= metres) if along else out
 
 
 def stop_go(rows: DataFrame, keys: list[str], order: list[str], speed: Column, stopped: float = 0.2, moving: float = 1.0) -> DataFrame:

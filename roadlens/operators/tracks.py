@@ -69,10 +69,11 @@ def velocity(rows: DataFrame, keys: list[str], order: list[str], value: str, dt:
 
 
 def resample(rows: DataFrame, keys: list[str], order: list[str], at: str, value: str, step: float) -> DataFrame:
-    """An even grid of ``at`` with linear interpolation between bracketing samples; equal ones count once."""
+    """An even grid of ``at``, both ends included, with linear interpolation between bracketing samples; equal ones count once."""
     w = _w(keys, order)
-    ends = rows.withColumn("_t", F.lead(at).over(w)).withColumn("_v", F.lead(value).over(w)).filter(F.col("_t") > F.col(at))
-    low, high = F.ceil(F.col(at) / step), F.ceil(F.col("_t") / step) - 1
+    last = F.max(at).over(Window.partitionBy(*keys))
+    ends = rows.withColumn("_last", last).withColumn("_t", F.lead(at).over(w)).withColumn("_v", F.lead(value).over(w)).filter(F.col("_t") > F.col(at))
+    low, high = F.ceil(F.col(at) / step), F.ceil(F.col("_t") / step) - F.when((F.col("_t") == F.col("_last")) & (F.pmod(F.col("_t"), F.lit(step)) == 0), 0).otherwise(1)
     grid = ends.withColumn("k", F.explode(F.when(high >= low, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))))
     share: Column = (F.col("k") * step - F.col(at)) / (F.col("_t") - F.col(at))
     return grid.select(*keys, "k", (F.col(value) + share * (F.col("_v") - F.col(value))).alias(value))

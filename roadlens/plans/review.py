@@ -12,7 +12,8 @@ def decided_findings(spark, sf_dir):
     """JN-18, AG-08: findings of each rule by decision."""
     f = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("rule"))
     d = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("toxic") == 1, "ignored").when(F.col("quality") == 1, "accepted").otherwise("rejected").alias("state"))
-    out = review.decided(f, d, "doc_id", "state")
+    twice = d.withColumn("at", F.lit(1)).unionByName(d.withColumn("state", F.lit("ignored")).withColumn("at", F.lit(0)))
+    out = review.decided(f, twice, "doc_id", "state", "at")
     return out.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status").isin("accepted", "rejected")).alias("n_resolved"), F.count_if(F.col("status") == "undecided").alias("n_open"))
 
 
@@ -20,7 +21,7 @@ def version_changes(spark, sf_dir):
     """ST-01: suppliers of parts before and after."""
     items = table(spark, sf_dir, "lineitem")
     side = lambda flag: items.filter(F.col("l_returnflag") == flag).select("l_orderkey")
-    return review.version_diff(side("R").distinct(), side("N").distinct(), "l_orderkey")
+    return review.version_diff(side("R"), side("N"), "l_orderkey")
 
 
 def findings_by_rule(spark, sf_dir):

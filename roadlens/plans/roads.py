@@ -39,8 +39,9 @@ def directed_pairs(spark, sf_dir):
 
 
 def terminus_nodes(spark, sf_dir):
-    """AG-05."""
-    return roads.terminus_nodes(way_nodes(spark, sf_dir), "l_partkey")
+    """AG-05: customers as nodes of ways that are days of orders."""
+    o = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"), "o_custkey", "o_orderkey")
+    return roads.terminus_nodes(roads.ordered_nodes(o, "day", "o_custkey", ["o_orderkey"]), "o_custkey")
 
 
 def lane_count(spark, sf_dir):
@@ -52,7 +53,7 @@ def lane_count(spark, sf_dir):
 
 def content_ids(spark, sf_dir):
     """PRJ-16."""
-    return table(spark, sf_dir, "part").select("p_partkey", tags.content_id(F.lit("node"), F.col("p_partkey").cast("string"), F.col("p_brand")).alias("id"))
+    return table(spark, sf_dir, "part").select("p_partkey", tags.content_id(F.lit("node"), F.col("p_partkey").cast("string"), F.when(F.col("p_size") > 5, F.col("p_brand")), F.col("p_type")).alias("id"))
 
 
 def way_geometry(spark, sf_dir):
@@ -103,11 +104,12 @@ SQL = {
     "road_selection": f"""WITH {TAGS_SQL} SELECT CASE WHEN highway IN ('footway', 'service') THEN 'highway=' || highway WHEN access = 'private' THEN 'access=private' ELSE 'selected' END AS reason, count(*) AS n_ways FROM tags GROUP BY 1""",
     "single_lane_oneway": f"WITH {TAGS_SQL} SELECT o_orderkey, lanes = 1 AND forward IS NULL AND oneway IS NULL AS implied FROM tags",
     "directed_pairs": f"{PAIRS_SQL} SELECT l_orderkey, count(*) AS n_edges, count(DISTINCT u) AS n_from FROM pair GROUP BY 1",
-    "terminus_nodes": f"WITH {NODES_SQL} SELECT l_partkey FROM nodes GROUP BY 1 HAVING bool_and(pos = 0 OR pos = n_nodes - 1)",
+    "terminus_nodes": """WITH n AS (SELECT o_custkey, row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey, o_custkey) AS pos, count(*) OVER (PARTITION BY CAST(o_orderdate AS DATE)) AS n FROM orders)
+      SELECT o_custkey FROM n GROUP BY 1 HAVING bool_and(pos = 1 OR pos = n)""",
     "lane_count": f"""WITH {TAGS_SQL}, c AS (SELECT CASE WHEN forward IS NOT NULL THEN {{'l': 2, 'c': 'high', 'r': 'directional'}} WHEN oneway IS NOT NULL AND lanes > 0 THEN {{'l': lanes, 'c': 'high', 'r': 'oneway_total'}}
       WHEN lanes > 0 AND lanes % 2 = 0 THEN {{'l': lanes // 2, 'c': 'medium', 'r': 'even_split'}} WHEN lanes > 0 THEN {{'l': greatest(1, lanes // 2), 'c': 'low', 'r': 'odd_split'}} ELSE {{'l': 1, 'c': 'low', 'r': 'missing'}} END AS s FROM tags)
       SELECT CAST(s.l AS INT) AS lanes, s.c AS confidence, s.r AS reason, count(*) AS n_ways FROM c GROUP BY ALL""",
-    "content_ids": "SELECT p_partkey, substr(sha256('node' || chr(31) || CAST(p_partkey AS VARCHAR) || chr(31) || p_brand), 1, 16) AS id FROM part",
+    "content_ids": "SELECT p_partkey, substr(sha256('node' || chr(31) || CAST(p_partkey AS VARCHAR) || chr(31) || CASE WHEN p_size > 5 THEN p_brand ELSE chr(0) END || chr(31) || p_type), 1, 16) AS id FROM part",
     "way_geometry": f"""WITH {NODES_SQL}, p AS (SELECT l_orderkey, pos, CAST(p_size AS DOUBLE) AS x, p_retailprice AS y FROM nodes JOIN part ON l_partkey = p_partkey),
       s AS (SELECT l_orderkey, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS d FROM p WINDOW w AS (PARTITION BY l_orderkey ORDER BY pos))
       SELECT l_orderkey, count(*) AS n_points, round(sum(d), 3) AS length FROM s GROUP BY 1 HAVING count(*) >= 2""",

@@ -10,8 +10,8 @@ from roadlens.plans.tracks import _T, KEYS, ORDER, _track
 
 
 def _cells(spark, sf_dir):
-    steps = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").cast("int").alias("speed"), F.round(F.col("l_discount") * 100).cast("int").alias("pedal"), F.round("l_extendedprice").cast("long").alias("price"))
-    return surveys.calibration_surface(steps, "speed", "pedal", "price").withColumn("mean", F.round("mean", 4))
+    steps = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").cast("int").alias("speed"), F.round(F.col("l_discount") * 100).cast("int").alias("pedal"), F.round("l_extendedprice").cast("long").alias("price"), (F.col("l_quantity") + F.col("l_tax")).alias("before"))
+    return surveys.calibration_surface(steps, "speed", "pedal", "price", "before").withColumn("mean", F.round("mean", 4)).withColumn("drift", F.round("drift", 9))
 
 
 def pedal_surface(spark, sf_dir):
@@ -72,9 +72,9 @@ def dwell_times(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (pedal_surface, filled_surface, monotone_surface, apportioned, moving_columns, stage_parity, restriction_retention, heading_swings, dwell_times)}
 
-_C = "c AS (SELECT CAST(l_quantity AS INT) AS speed, CAST(round(l_discount * 100) AS INT) AS pedal, round(avg(CAST(round(l_extendedprice) AS BIGINT)), 4) AS mean, count(*) AS n, max(abs(CAST(round(l_extendedprice) AS BIGINT))) AS largest FROM lineitem GROUP BY ALL)"
+_C = "c AS (SELECT CAST(l_quantity AS INT) AS speed, CAST(round(l_discount * 100) AS INT) AS pedal, round(avg(CAST(round(l_extendedprice) AS BIGINT)), 4) AS mean, count(*) AS n, round(max(abs(l_quantity + l_tax - CAST(l_quantity AS INT))), 9) AS drift FROM lineitem GROUP BY ALL)"
 SQL = {
-    "pedal_surface": f"WITH {_C} SELECT speed, pedal, mean, n, largest FROM c",
+    "pedal_surface": f"WITH {_C} SELECT speed, pedal, mean, n, drift FROM c",
     "filled_surface": f"""WITH {_C}, k AS (SELECT * FROM c WHERE (speed + pedal) % 2 + speed % 3 > 1)
       SELECT c.speed, c.pedal, min_by(k.mean, abs(k.speed - c.speed) * 1000 + k.speed) AS filled FROM c LEFT JOIN k ON c.pedal = k.pedal GROUP BY ALL""",
     "monotone_surface": f"WITH {_C}, r AS (SELECT *, max(mean) OVER (PARTITION BY speed ORDER BY pedal) AS risen FROM c) SELECT speed, count(*) FILTER (risen > mean) AS n_repaired, max(risen) AS most FROM r GROUP BY 1",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from roadlens.operators import telemetry
 from roadlens.plans.tables import events
@@ -46,6 +46,13 @@ def long_runs(spark, sf_dir):
     return r.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_runs"), F.max("n_rows").alias("longest"))
 
 
+def tracked_runs(spark, sf_dir):
+    """WN-12: runs of high values of at least 20 m, ten metres a sample."""
+    at = F.row_number().over(Window.partitionBy("user_id").orderBy("us", "event_id")) * 10
+    r = telemetry.runs(events(spark, sf_dir).withColumn("along", at), ["user_id"], ["us", "event_id"], F.col("value") > 60, along="along", metres=20)
+    return r.select("user_id", "run", "n_rows", F.col("length").cast("long").alias("length"))
+
+
 def stop_go_cycles(spark, sf_dir):
     """WN-14: speed is value / 100."""
     return telemetry.stop_go(events(spark, sf_dir), ["user_id"], ["us", "event_id"], F.col("value") / 100)
@@ -78,7 +85,7 @@ def channel_agreement(spark, sf_dir):
     return telemetry.agreement(side("click"), side("view"), ["user_id", "minute"], "value", 50.0)
 
 
-QUERIES = {f.__name__: f for f in (message_gaps, channel_rates, latency_percentiles, frame_completeness, flagged_runs, long_runs, stop_go_cycles, as_of_value, latest_statement, standing_statement, channel_agreement)}
+QUERIES = {f.__name__: f for f in (message_gaps, channel_rates, latency_percentiles, frame_completeness, flagged_runs, long_runs, tracked_runs, stop_go_cycles, as_of_value, latest_statement, standing_statement, channel_agreement)}
 
 _E = "e AS (SELECT *, epoch_us(ts) AS us FROM events)"
 SQL = {
@@ -92,6 +99,8 @@ SQL = {
       g AS (SELECT user_id, i, count(*) AS n FROM r WHERE f GROUP BY ALL) SELECT user_id, count(*) AS n_runs, max(n) AS longest FROM g GROUP BY 1""",
     "long_runs": f"""WITH {_E}, r AS (SELECT user_id, value > 100 AS f, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) - row_number() OVER (PARTITION BY user_id, value > 100 ORDER BY us, event_id) AS i FROM e),
       g AS (SELECT user_id, i, count(*) AS n FROM r WHERE f GROUP BY ALL HAVING count(*) >= 2) SELECT user_id, count(*) AS n_runs, max(n) AS longest FROM g GROUP BY 1""",
+    "tracked_runs": f"""WITH {_E}, r AS (SELECT user_id, value > 60 AS f, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) AS r, row_number() OVER (PARTITION BY user_id, value > 60 ORDER BY us, event_id) AS q FROM e)
+      SELECT user_id, min(r) AS run, count(*) AS n_rows, 10 * (max(r) - min(r)) AS length FROM r WHERE f GROUP BY user_id, r - q HAVING 10 * (max(r) - min(r)) >= 20""",
     "stop_go_cycles": f"""WITH {_E}, s AS (SELECT user_id, us, event_id, last_value(CASE WHEN value / 100 < 0.2 THEN 'stop' WHEN value / 100 > 1.0 THEN 'go' END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY us, event_id) AS s FROM e),
       p AS (SELECT *, lag(s) OVER (PARTITION BY user_id ORDER BY us, event_id) AS p FROM s),
       n AS (SELECT *, count(*) FILTER (s = 'stop' AND p = 'go') OVER (PARTITION BY user_id ORDER BY us, event_id) AS n FROM p) SELECT user_id, count(*) FILTER (s = 'go' AND p = 'stop' AND n > 0) AS cycles FROM n GROUP BY 1""",

@@ -71,6 +71,6 @@ SQL = {
       SELECT user_id, round(min(CASE WHEN a2 > 1e-12 THEN p / (2 * a2) END), 5) AS tightest FROM r GROUP BY 1""",
     "pooled_speeds": f"WITH {_T} SELECT user_id, CAST(floor(round(along, 6) / 500) AS BIGINT) AS pool, min(value) AS least FROM a GROUP BY ALL",
     "resampled": f"""WITH {_T}, e AS (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM t WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id)),
-      g AS (SELECT *, unnest(range(CAST(ceil(x / 25) AS BIGINT), CAST(ceil(nx / 25) AS BIGINT))) AS k FROM e WHERE nx > x)
-      SELECT user_id, count(*) AS n, round(sum(y + (k * 25 - x) / (nx - x) * (ny - y)), 4) AS total FROM g GROUP BY 1""",
+      g AS (SELECT *, unnest(range(CAST(ceil(x / 25) AS BIGINT), CAST(floor(nx / 25) AS BIGINT) + 1)) AS k, max(x) OVER (PARTITION BY user_id) AS last FROM e WHERE nx > x QUALIFY true), q AS (SELECT user_id, max(x) AS top FROM t GROUP BY 1), z AS (SELECT g.* FROM g JOIN q USING (user_id) WHERE k * 25 < nx OR nx = top)
+      SELECT user_id, count(*) AS n, round(sum(y + (k * 25 - x) / (nx - x) * (ny - y)), 4) AS total FROM z GROUP BY 1""",
 }
