@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from roadlens.llm.words import Scratch
 from roadlens.session import materialize
 
 WINDOW, GRAM = 10, 5
@@ -67,22 +68,23 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     keyed = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("h")))
     hashes = lambda text: F.transform(words_of(text), lambda w: F.xxhash64(w))
 
-    asked = materialize(items.select(F.col("item_id").cast("string").alias("item_id"), hashes(F.col("text").cast("string")).alias("w")).distinct(), f"{name}-items")
+    scratch = Scratch(name)
+    asked = scratch(items.select(F.col("item_id").cast("string").alias("item_id"), hashes(F.col("text").cast("string")).alias("w")).distinct(), "items")
     side = window - gram
     long_ = asked.filter(F.size("w") >= window).withColumn("k", F.explode_outer(F.expr(_winnowed("w", window, gram))))
     at = (F.col("k").bitwiseAND(F.lit(POSITION))).cast("int")
     prints = long_.select("item_id", F.expr(f"k & ~{POSITION}L").alias("h"), *_sides("w", at, gram, side)).groupBy("h", "before", "after").agg(F.collect_set(F.struct("item_id")).alias("own"))
     # Items that share a passage are compared as one; in a struct a null id stays.
-    prints = materialize(prints, f"{name}-prints")
+    prints = scratch(prints, "prints")
     short = asked.filter((F.size("w") > 0) & (F.size("w") < window))
     sizes = sorted(r["n"] for r in short.select(F.size("w").alias("n")).distinct().collect())  # at most window - 1 rows
 
     # The one scan of all texts: words and kept hashes. Of the stored arrays, those that an item has.
     kept = keyed.withColumn("w", hashes(F.col("text"))).select("doc_id", "key", F.size("w").alias("n_words"), F.expr(f"if(size(w) >= {window}, {_winnowed('w', window, gram)}, cast(null as array<bigint>))").alias("kept"))
     kept = materialize(kept, f"{name}-kept")
-    known = _small(materialize(prints.select("h").distinct(), f"{name}-known"))
+    known = _small(scratch(prints.select("h").distinct(), "known"))
     hits = kept.select("key", F.explode("kept").alias("k")).withColumn("h", F.expr(f"k & ~{POSITION}L")).join(known, "h", "left_semi")
-    at = materialize(hits.groupBy("key").agg(F.collect_set(F.struct((F.col("k").bitwiseAND(F.lit(POSITION))).cast("int").alias("p"), "h")).alias("at")), f"{name}-hits")
+    at = scratch(hits.groupBy("key").agg(F.collect_set(F.struct((F.col("k").bitwiseAND(F.lit(POSITION))).cast("int").alias("p"), "h")).alias("at")), "hits")
     there = keyed.select("key", "text").join(_small(at, F.size("at")), "key").dropDuplicates(["key"]).withColumn("w", hashes(F.col("text")))
     around = there.withColumn("a", F.explode_outer(F.transform("at", lambda a: F.struct(a["p"].alias("p"), a["h"].alias("h"), *_sides("w", a["p"], gram, side)))))
     met = around.select("key", "a.*").join(_small(prints, F.size("own")).withColumnsRenamed({"before": "before_i", "after": "after_i"}), "h")
@@ -91,11 +93,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     spans = spans.select("key", F.inline("own"), (F.col("p") - F.col("back")).alias("start"), (F.col("p") + gram + F.col("on")).alias("end"))
     for n in sizes:
         whole = short.filter(F.size("w") == n).select("item_id", F.expr(f"transform(array(0), i -> {_gram('w', n)})[0]").alias("h"))
-        whole = materialize(whole.distinct(), f"{name}-short")
+        whole = scratch(whole.distinct(), "short")
         runs = keyed.withColumn("w", hashes(F.col("text"))).select("key", F.posexplode_outer(F.expr(f"if(size(w) >= {n}, transform(sequence(0, size(w) - {n}), i -> {_gram('w', n)}), null)")).alias("p", "h"))
         spans = spans.unionByName(runs.join(_small(whole), "h").select("key", "item_id", F.col("p").alias("start"), (F.col("p") + n).alias("end")))
 
     spans = materialize(spans.distinct(), f"{name}-spans")
+    scratch.clear()
+    # What is left of the one scan is read for its counts only.
     listed = spans.select("key", "item_id").distinct().groupBy("key").agg(F.sort_array(F.collect_list("item_id")).alias("items"))
     # Words covered by any span: spans sorted by start, each adds what lies beyond all before it.
     covered = spans.select("key", "start", "end").distinct().groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s"))

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from roadlens.operators.components import components
-from roadlens.session import materialize
+from roadlens.session import discard, materialize
 
 COSINE = 0.93
 TABLES, PROJECTIONS, WIDTH = 32, 10, 2.0
@@ -188,13 +188,15 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK,
     order = [*at, "bi", "bj"]
     pairs = pairs.select(*order, "side", "vec_id", "copies", "vector", "keys")
     parts = max(8, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = materialize(pairs.repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(_compare(cosine), "vec_id long, n long, root long"), f"{name}-found")
-    found = materialize(found.groupBy("vec_id", "root").agg(F.sum("n").alias("n")), f"{name}-summed")
+    each = materialize(pairs.repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(_compare(cosine), "vec_id long, n long, root long"), f"{name}-found")
+    found = materialize(each.groupBy("vec_id", "root").agg(F.sum("n").alias("n")), f"{name}-summed")
 
     n = found.groupBy("vec_id").agg(F.sum("n").alias("n"))
     comp = components(
         found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")).unionByName(member.select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))), name=f"{name}-components"
     )
+    for spent in (valid, hashed, sizes, each):
+        discard(spent)
     return (
         rows.select("vec_id").join(member, "vec_id", "left").withColumn("rep", F.coalesce("rep", "vec_id"))
         .join(n.withColumnRenamed("vec_id", "rep"), "rep", "left").join(comp.select(F.col("id").alias("vec_id"), "component"), "vec_id", "left")

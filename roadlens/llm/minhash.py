@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from roadlens.llm.words import mix, shingles, small_batches, text_chunks, trimmed
+from roadlens.llm.words import Scratch, mix, shingles, small_batches, text_chunks, trimmed
 from roadlens.operators.components import components
 from roadlens.session import materialize
 
@@ -28,6 +28,7 @@ WORDS = 5
 THRESHOLD = 80  # per cent
 _DRAWS = 256
 BINS_OF_ALLOWED = 8
+BROADCAST_ROWS = 200_000
 _ODD = np.random.default_rng(7).integers(1, 2**63, BINS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -118,19 +119,23 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, words: int = WO
     by = ["n_shingles", "sum1", "sum2"]
     named = signed.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("h", *by)).alias("m")).select("doc_id", "m.*").filter("n_shingles > 0")
     classes = named.groupBy(*by).agg(F.min(F.struct("doc_id", "h")).alias("rep"), F.count(F.lit(1)).alias("copies"))
-    classes = materialize(classes.select(*by, "rep.*", "copies"), f"{name}-classes")
+    scratch = Scratch(name)
+    classes = scratch(classes.select(*by, "rep.*", "copies"), "classes")
     repeated = classes.filter("copies > 1").select(*by, F.col("doc_id").alias("b"))
     equal = named.select(F.col("doc_id").alias("a"), *by).join(repeated, by).select("a", "b").filter("a <> b")
-    reps = signed.join(classes.select("doc_id", "h"), ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id"])
+    reps = signed.join(classes.select("doc_id", "h"), ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"])
 
     banded = reps.select("doc_id", "h", "n_shingles", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = materialize(banded.join(shared, "bucket"), f"{name}-members")
-    ids = members.select("doc_id", "h").distinct()
-    chosen = text.join(ids, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "text")
-    sets = materialize(chosen.mapInArrow(trimmed(_sets(words)), "doc_id long, own array<long>"), f"{name}-sets")
-    linked = _star_edges(members, sets, threshold, name).unionByName(equal)
+    members = scratch(banded.join(shared, "bucket"), "members")
+    ids = scratch(members.select("doc_id", "h").distinct(), "ids")
+    if ids.count() <= BROADCAST_ROWS:  # of 16 bytes; more of them are joined by a shuffle of the texts
+        ids = F.broadcast(ids)
+    chosen = text.join(ids, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"]).select("doc_id", "text")
+    sets = scratch(chosen.mapInArrow(trimmed(_sets(words)), "doc_id long, own array<long>"), "sets")
+    linked = _star_edges(members, sets, threshold, scratch).unionByName(equal)
     comp = components(linked, name=f"{name}-components")
+    scratch.clear()
     return (
         signed.select("doc_id", "n_shingles")
         .join(comp.select(F.col("id").alias("doc_id"), F.col("component").alias("found")), "doc_id", "left")
@@ -150,7 +155,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def _star_edges(members: DataFrame, sets: DataFrame, threshold: int, name: str) -> DataFrame:
+def _star_edges(members: DataFrame, sets: DataFrame, threshold: int, scratch: Scratch) -> DataFrame:
     """Confirmed edges (a, b) that connect all members of buckets that links connect."""
     # The centre is the member that meets most others in all its buckets: buckets of one group then share
     # few centres, so a document is compared with few of them, and these are likely to be linked with it.
@@ -163,14 +168,14 @@ def _star_edges(members: DataFrame, sets: DataFrame, threshold: int, name: str)
     met = members.join(centres, "bucket").filter("doc_id <> centre")
     sized = 100 * F.least("n_shingles", "centre_n") >= threshold * F.greatest("n_shingles", "centre_n")
     pairs = met.filter(sized).select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
-    found = materialize(_confirmed(pairs, sets, threshold), f"{name}-pairs")
+    found = scratch(_confirmed(pairs, sets, threshold), "pairs")
     edges = found.filter("linked").select("a", "b")
 
     # Where the members that met a centre lie in several components, links among them may be missing.
-    comp = components(edges, name=f"{name}-round").select(F.col("id").alias("doc_id"), "component")
+    comp = components(edges, name=f"{scratch.name}-round").select(F.col("id").alias("doc_id"), "component")
     rest = met.select("bucket", "doc_id").join(comp, "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
     open_ = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
-    rest = materialize(rest.join(open_, "bucket", "left_semi"), f"{name}-rest")
+    rest = scratch(rest.join(open_, "bucket", "left_semi"), "rest")
     # The second centre is the member that meets most others in all its buckets: what it differs in is least.
     crowd = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("crowd"))
     met_by = rest.join(crowd, "bucket").groupBy("doc_id").agg(F.sum("crowd").alias("meets"))
@@ -180,10 +185,10 @@ def _star_edges(members: DataFrame, sets: DataFrame, threshold: int, name: str)
         .select("bucket", F.col("c.doc_id").alias("centre"))
     )
     near = rest.join(best, "bucket").filter("doc_id <> centre").select("centre", "doc_id").distinct()
-    return edges.unionByName(_around(near, edges, sets, found.select("a", "b"), threshold, name))
+    return edges.unionByName(_around(near, edges, sets, found.select("a", "b"), threshold, scratch))
 
 
-def _around(near: DataFrame, edges: DataFrame, sets: DataFrame, tested: DataFrame, threshold: int, name: str) -> DataFrame:
+def _around(near: DataFrame, edges: DataFrame, sets: DataFrame, tested: DataFrame, threshold: int, scratch: Scratch) -> DataFrame:
     """Edges between each centre and its members (centre, doc_id), and among members that edges don't connect yet.
 
     With D(x) the n(x) elements in which x and the centre differ, x and y differ in n(x) + n(y) - 2 *
@@ -201,22 +206,22 @@ def _around(near: DataFrame, edges: DataFrame, sets: DataFrame, tested: DataFram
     differ = near.join(left, "centre").join(sets, "doc_id").withColumn("delta", F.concat(F.array_except("own", "own_c"), F.array_except("own_c", "own")))
     joint = (F.size("own") + F.size("own_c") + F.size("delta")) / 2
     width = F.greatest(F.lit(1), F.floor(F.size("own_c") * ratio / BINS_OF_ALLOWED)).cast("int")  # the same for all of a centre
-    differ = materialize(
-        differ.select("centre", "doc_id", "delta", F.size("own").alias("size"), width.alias("width"), (100 * (joint - F.size("delta")) >= threshold * joint).alias("linked")), f"{name}-differ"
+    differ = scratch(
+        differ.select("centre", "doc_id", "delta", F.size("own").alias("size"), width.alias("width"), (100 * (joint - F.size("delta")) >= threshold * joint).alias("linked")), "differ"
     )
     own = differ.filter("linked").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b"))
-    comp = components(edges.unionByName(own), name=f"{name}-second").select(F.col("id").alias("doc_id"), "component")
-    apart = materialize(differ.select("centre", "doc_id").join(comp, "doc_id", "left").select("centre", "doc_id", F.coalesce("component", "doc_id").alias("comp")), f"{name}-apart")
+    comp = components(edges.unionByName(own), name=f"{scratch.name}-second").select(F.col("id").alias("doc_id"), "component")
+    apart = scratch(differ.select("centre", "doc_id").join(comp, "doc_id", "left").select("centre", "doc_id", F.coalesce("component", "doc_id").alias("comp")), "apart")
     open_ = apart.groupBy("centre").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("centre")
     differ = differ.join(apart.join(open_, "centre", "left_semi"), ["centre", "doc_id"]).withColumn("n", F.size("delta")).withColumn("bin", F.expr("n div width").cast("int"))
-    differ = materialize(differ, f"{name}-open")
+    differ = scratch(differ, "open")
     elements = differ.select("centre", "doc_id", F.explode("delta").alias("e"))
-    common = materialize(elements.groupBy("centre", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), f"{name}-common")
+    common = scratch(elements.groupBy("centre", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), "common")
     ordered = elements.join(common, ["centre", "e"]).groupBy("centre", "doc_id").agg(F.sort_array(F.collect_list(F.struct("often", "e"))).alias("own"))
     side = ["doc_id", "comp", "n", "size"]
     # Bins are few: a link allows as many differences as BINS_OF_ALLOWED of them, and no D is larger than both sets.
     bins = differ.groupBy("centre").agg(F.collect_set("bin").alias("bins"), F.collect_set(F.when(~F.col("linked"), F.col("bin"))).alias("far_bins"))
-    held = materialize(ordered.join(differ.select("centre", "linked", "width", "bin", *side), ["centre", "doc_id"]).join(bins, "centre"), f"{name}-held")
+    held = scratch(ordered.join(differ.select("centre", "linked", "width", "bin", *side), ["centre", "doc_id"]).join(bins, "centre"), "held")
 
     def kept(rows: DataFrame, other: str) -> DataFrame:
         """The elements that each row keeps for each bin of the other side."""
@@ -237,5 +242,5 @@ def _around(near: DataFrame, edges: DataFrame, sets: DataFrame, tested: DataFram
         .filter(F.col("n") + F.col("n_x") - 2 * (F.col("met") + F.greatest("rest", "rest_x")) <= allowed + 0.001)
     )
     pairs = met.select(F.least("doc_id", "doc_id_x").alias("a"), F.greatest("doc_id", "doc_id_x").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    more = materialize(_confirmed(pairs, sets, threshold), f"{name}-more")
+    more = scratch(_confirmed(pairs, sets, threshold), "more")
     return more.filter("linked").select("a", "b").unionByName(own)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from roadlens.llm.words import CHUNK_BYTES, mix, prefix_hashes, small_batches, span_hashes, trimmed, word_bounds
+from roadlens.llm.words import CHUNK_BYTES, Scratch, mix, prefix_hashes, small_batches, span_hashes, trimmed, word_bounds
 from roadlens.session import discard, materialize
 
 LENGTH = 400
@@ -238,6 +238,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix",
     text = F.col("text") if dict(texts.dtypes)["text"] == "binary" else F.col("text").cast("string")
     data = texts.select(F.col("key").cast("string"), text)
     more = F.min("key") < F.max("key") if across else F.count(F.lit(1)) > 1
+    scratch = Scratch(name)
     now = materialize(data.mapInArrow(trimmed(_first(length)), RANGE), f"{name}-0")
     spans, held = None, None
     row, hull = ["key", "anchor", "lo", "hi"], ["hull", "more"]
@@ -245,26 +246,26 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix",
     for turn, width in enumerate(WIDTHS):
         # What is joined with is stored first: the side of a join that is no aggregate can be split where
         # one core or hull has very many rows.
-        twice = materialize(now.groupBy("core").agg(more.alias("_")).filter("_").select("core"), f"{name}-cores")
-        alive = materialize(now.join(twice, "core", "left_semi"), f"{name}-alive")
+        twice = scratch(now.groupBy("core").agg(more.alias("_")).filter("_").select("core"), "cores")
+        alive = scratch(now.join(twice, "core", "left_semi"), "alive")
         discard(now)
-        whole = materialize(alive.groupBy(*hull).agg(more.alias("_")).filter("_").select(*hull, F.lit(True).alias("all")), f"{name}-hulls")
-        judged = materialize(alive.join(whole, hull, "left"), f"{name}-judged")
-        discard(alive)
+        whole = scratch(alive.groupBy(*hull).agg(more.alias("_")).filter("_").select(*hull, F.lit(True).alias("all")), "hulls")
+        judged = scratch(alive.join(whole, hull, "left"), "judged")
         found = judged.filter("all").select("key", (F.col("anchor") - F.col("hi")).alias("start"), (F.col("anchor") - F.col("lo") + length).alias("end"))
+        found = materialize(found, f"{name}-found")
         spans = found if spans is None else spans.unionByName(found)
         undecided = judged.filter("all is null").select(*row, "core")
         if turn + 1 == len(WIDTHS) or undecided.isEmpty():
-            return spans
+            break
         # One of the equal hulls that are settled stays as a witness where others of its group are open;
         # with across one of each of two keys, as a range can't witness for its own key.
-        cores = materialize(undecided.select("core").distinct(), f"{name}-undecided")
+        cores = scratch(undecided.select("core").distinct(), "undecided")
         settled = judged.filter("all").join(cores, "core", "left_semi")
         own = F.struct(*row, "core")
         ends = F.array(F.min(own), F.max(own)) if across else F.array(F.min(own))
         witness = settled.groupBy(*hull).agg(ends.alias("w")).select(F.explode("w").alias("w")).select("w.*").distinct()
-        open_ = materialize(undecided.unionByName(witness), f"{name}-open")
-        sizes = materialize(open_.groupBy("core").agg((F.count(F.lit(1)) <= group).alias("small")), f"{name}-sizes")
+        open_ = scratch(undecided.unionByName(witness), "open")
+        sizes = scratch(open_.groupBy("core").agg((F.count(F.lit(1)) <= group).alias("small")), "sizes")
         open_ = open_.join(sizes, "core")
         if turn == 0:
             ranges = open_.groupBy("key").agg(F.collect_list(F.struct("anchor", "lo", "hi", "core", "small")).alias("r"))
@@ -275,15 +276,16 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix",
             cut = F.expr(f"substring(bytes, high - hi + 1, hi - lo + {length})")
             place = F.expr(f"lo div {WIDTHS[0]}")
             rows = open_.withColumn("place", place).join(held, ["key", "anchor", "place"]).filter(inside).select("core", *row, cut.alias("bytes"), "small")
-        rows = materialize(rows, f"{name}-held")
+        rows = scratch(rows, "held")
         grouped = rows.filter("small").drop("small").repartition(parts, "core").sortWithinPartitions("core")
         spans = spans.unionByName(materialize(grouped.mapInArrow(trimmed(_expand(width, length, across)), "key string, start long, end long"), f"{name}-expanded"))
         large = rows.filter("not small")
         if large.isEmpty():
-            return spans
+            break
         if turn == 0:
             held = large.select("key", "anchor", F.expr(f"lo div {WIDTHS[0]}").alias("place"), F.col("lo").alias("low"), F.col("hi").alias("high"), "bytes")
         now = materialize(large.select(*row, "bytes").mapInArrow(trimmed(_narrower(WIDTHS[turn + 1], length)), RANGE), f"{name}-{turn + 1}")
+    scratch.clear()
     return spans
 
 
@@ -385,8 +387,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     if words:
         # A passage has at least a byte a word and one between two.
         worded = keyed.filter(F.octet_length("text") >= 2 * words - 1).select("key", "text")
-        codes = materialize(worded.dropDuplicates(["key"]).mapInArrow(trimmed(_codes), "key string, text binary").filter(F.octet_length("text") >= CODE * words), f"{name}-codes")
+        codes = materialize(worded.mapInArrow(trimmed(_codes), "key string, text binary").filter(F.octet_length("text") >= CODE * words), f"{name}-codes")
         passages = repeated_spans(codes, CODE * words, f"{name}-words", across=True).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("passages"))
+        discard(codes)
         joined = joined.join(passages, "key", "left")
     else:
         joined = joined.withColumn("passages", F.lit(None).cast("array<struct<start: bigint, end: bigint>>"))

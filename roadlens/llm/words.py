@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from roadlens.session import discard, materialize
+
 CHUNK_BYTES = 1 << 18  # arrays of several 8-byte numbers a byte are made of a chunk
 _RNG = np.random.default_rng(20240917)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -33,6 +35,25 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+class Scratch:
+    """Tables in the shared folder that a later table makes needless; ``clear`` deletes them."""
+
+    def __init__(self, name: str):
+        self.name, self.tables = name, []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(materialize(df, f"{self.name}-{name}"))
+        return self.tables[-1]
+
+    def clear(self) -> None:
+        while self.tables:
+            df = self.tables.pop()
+            discard(df)
+            if not self.tables:
+                # Shuffle files of finished steps go when the driver's JVM collects what named them.
+                df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run`` for mapInArrow, after which the worker, which waits for other tasks, gives free memory back."""
 
@@ -112,8 +133,12 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words between ASCII white space, A-Z lower-cased, and the row of each word."""
     if len(offsets) == 2 and len(data) > CHUNK_BYTES:
-        words = np.concatenate([word_hashes(part, np.array([0, len(part)]))[0] for part in _pieces(data)])
+        words = np.concatenate([_word_hashes(part, np.array([0, len(part)]))[0] for part in _pieces(data)])
         return words, np.zeros(len(words), np.int64)
+    return _word_hashes(data, offsets)
+
+
+def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lower = _LOWER[data]
     solid = ~_SPACE[lower]
     edge = np.zeros(len(data) + 1, bool)
