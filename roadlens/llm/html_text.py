@@ -43,6 +43,8 @@ LABELLED = [
     (-1, 3, 1.0, -1, 0.0, 4, 1.0, 0), (-1, 9, 0.0, 2, 1.0, 7, 0.0, 0), (-1, 35, 0.0, 3, 1.0, 9, 0.0, 0), (-1, 90, 0.0, 50, 0.0, -1, 0.0, 0),
     (-1, 14, 0.3, 70, 0.0, -1, 0.0, 0), (-1, 6, 0.0, 100, 0.0, 5, 1.0, 0),
     (1, 2, 0.0, 2, 1.0, 9, 0.0, 1), (1, 3, 0.0, 1, 1.0, 40, 0.0, 1), (1, 6, 0.0, 3, 1.0, 30, 0.0, 1), (1, 1, 0.0, 4, 1.0, 5, 0.0, 1),
+    (1, 7, 0.28, 9, 0.0, -1, 0.0, 1), (1, 20, 0.15, 40, 0.0, -1, 0.0, 1), (1, 12, 0.4, 30, 0.1, -1, 0.0, 1), (1, 30, 0.3, 40, 0.0, 3, 1.0, 1), (1, 5, 0.2, 3, 0.0, 2, 0.0, 1),
+    (1, 8, 0.5, 20, 0.0, 1, 0.0, 1), (1, 4, 0.25, 2, 1.0, 3, 0.0, 1), (1, 6, 0.33, 7, 0.0, 4, 0.5, 1), (1, 10, 0.6, 4, 0.2, -1, 0.0, 1), (1, 3, 0.34, 50, 0.0, -1, 0.0, 1),
     (1, 9, 0.0, 8, 0.0, 40, 0.0, 1), (1, 1, 0.0, 60, 0.0, 70, 0.0, 1), (1, 1, 0.0, 1, 0.0, 1, 0.0, 1), (1, 45, 0.0, 9, 0.0, 80, 0.0, 1),
     (1, 130, 0.0, 30, 0.0, 12, 0.0, 1), (1, 300, 0.05, 50, 0.0, 2, 1.0, 1), (1, 20, 0.3, 50, 0.0, 50, 0.1, 1), (1, 3, 0.0, 80, 0.0, -1, 0.0, 1),
     (1, 6, 1.0, 70, 0.0, 60, 0.0, 1), (1, 5, 1.0, 4, 0.0, 50, 0.0, 1), (1, 2, 0.0, -1, 0.0, -1, 0.0, 1), (1, 15, 0.6, 90, 0.0, 40, 0.0, 1),
