@@ -24,7 +24,7 @@ word, in which a passage has one length whatever its letters are.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from roadlens.llm.words import CHUNK_BYTES, Scratch, mix, prefix_hashes, small_batches, span_hashes, trimmed, word_bounds
-from roadlens.session import discard, materialize
+from roadlens.session import materialize
 
 LENGTH = 400
 GRAM = 8
@@ -225,21 +225,25 @@ def _expand(width: int, length: int, across: bool):
     return run
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix", across: bool = False, group: int = GROUP) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix", across: bool = False, group: int = GROUP, encode: Callable | None = None) -> DataFrame:
     """(key, text) to (key, start, end): bytes covered by a ``length``-byte string that occurs elsewhere.
 
-    With ``across``, elsewhere is a text of another key only. A binary text is taken as it is.
+    With ``across``, elsewhere is a text of another key only. ``encode`` makes Arrow batches of (key, text, ...)
+    into such batches with the strings that are compared in the place of the texts; they are made again
+    where they are needed, as they may be longer than the texts.
 
     The strings are judged on the input; spans of a key may overlap. Texts shorter than ``length``
     have none. A key must name one text; keys may be shared by equal texts only.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
-    text = F.col("text") if dict(texts.dtypes)["text"] == "binary" else F.col("text").cast("string")
-    data = texts.select(F.col("key").cast("string"), text)
-    more = F.min("key") < F.max("key") if across else F.count(F.lit(1)) > 1
+    encode = encode or iter
+    first, cut_bytes = _first(length), _slice(length)
+    data = texts.select(F.col("key").cast("string"), F.col("text").cast("string"))
+    # Keys are compared by their hashes: numbers are aggregated without a sort.
+    more = F.min(F.xxhash64("key")) < F.max(F.xxhash64("key")) if across else F.count(F.lit(1)) > 1
     scratch = Scratch(name)
-    now = materialize(data.mapInArrow(trimmed(_first(length)), RANGE), f"{name}-0")
+    now = materialize(data.mapInArrow(trimmed(lambda batches: first(encode(batches))), RANGE), f"{name}-0")
     spans, held = None, None
     row, hull = ["key", "anchor", "lo", "hi"], ["hull", "more"]
     parts = max(8, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -248,9 +252,10 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix",
         # one core or hull has very many rows.
         twice = scratch(now.groupBy("core").agg(more.alias("_")).filter("_").select("core"), "cores")
         alive = scratch(now.join(twice, "core", "left_semi"), "alive")
-        discard(now)
+        scratch.drop(now, twice)
         whole = scratch(alive.groupBy(*hull).agg(more.alias("_")).filter("_").select(*hull, F.lit(True).alias("all")), "hulls")
         judged = scratch(alive.join(whole, hull, "left"), "judged")
+        scratch.drop(alive, whole)
         found = judged.filter("all").select("key", (F.col("anchor") - F.col("hi")).alias("start"), (F.col("anchor") - F.col("lo") + length).alias("end"))
         found = materialize(found, f"{name}-found")
         spans = found if spans is None else spans.unionByName(found)
@@ -264,19 +269,21 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, name: str = "suffix",
         own = F.struct(*row, "core")
         ends = F.array(F.min(own), F.max(own)) if across else F.array(F.min(own))
         witness = settled.groupBy(*hull).agg(ends.alias("w")).select(F.explode("w").alias("w")).select("w.*").distinct()
-        open_ = scratch(undecided.unionByName(witness), "open")
-        sizes = scratch(open_.groupBy("core").agg((F.count(F.lit(1)) <= group).alias("small")), "sizes")
-        open_ = open_.join(sizes, "core")
+        stored = scratch(undecided.unionByName(witness), "open")
+        scratch.drop(judged, cores)
+        sizes = scratch(stored.groupBy("core").agg((F.count(F.lit(1)) <= group).alias("small")), "sizes")
+        open_ = stored.join(sizes, "core")
         if turn == 0:
             ranges = open_.groupBy("key").agg(F.collect_list(F.struct("anchor", "lo", "hi", "core", "small")).alias("r"))
             carried = data.join(ranges, "key").dropDuplicates(["key"]).select("key", "text", "r")
-            rows = carried.mapInArrow(trimmed(_slice(length)), "core long, key string, anchor long, lo int, hi int, bytes binary, small boolean")
+            rows = carried.mapInArrow(trimmed(lambda batches: cut_bytes(encode(batches))), "core long, key string, anchor long, lo int, hi int, bytes binary, small boolean")
         else:
             inside = (F.col("lo") >= F.col("low")) & (F.col("hi") <= F.col("high"))
             cut = F.expr(f"substring(bytes, high - hi + 1, hi - lo + {length})")
             place = F.expr(f"lo div {WIDTHS[0]}")
             rows = open_.withColumn("place", place).join(held, ["key", "anchor", "place"]).filter(inside).select("core", *row, cut.alias("bytes"), "small")
         rows = scratch(rows, "held")
+        scratch.drop(stored, sizes)
         grouped = rows.filter("small").drop("small").repartition(parts, "core").sortWithinPartitions("core")
         spans = spans.unionByName(materialize(grouped.mapInArrow(trimmed(_expand(width, length, across)), "key string, start long, end long"), f"{name}-expanded"))
         large = rows.filter("not small")
@@ -319,7 +326,7 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as strings of one hash a word."""
+    """Texts, the second column, as strings of one hash a word; other columns stay."""
     for batch in batches:
         out, first, held = [], 0, 0
         for r in range(batch.num_rows):
@@ -328,7 +335,8 @@ def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append(span_hashes(prefix_hashes(data), start, end).tobytes())
             held += len(out[-1])
             if held > CHUNK_BYTES or r + 1 == batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(out)), pa.array(out, pa.binary())], ["key", "text"])
+                part = batch.slice(first, len(out))
+                yield part.set_column(1, part.schema.names[1], pa.array(out, pa.binary()))
                 out, first, held = [], r + 1, 0
 
 
@@ -380,20 +388,19 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     # Long texts only can hold a string; a row is named by its key and text. Its own columns travel in a
     # struct, so that none of their names meets one of ours.
     own = F.concat_ws(":", F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("null")), F.hex(F.xxhash64(body)), F.octet_length(body))
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("key"), body.alias("text"))
-    long_ = keyed.filter(F.octet_length("text") >= length).select("key", "text")
+    keyed = docs.select(own.alias("key"), body.alias("text"))
+    long_ = keyed.filter(F.octet_length("text") >= length)
     spans = repeated_spans(long_, length, name).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    joined = keyed.join(spans, "key", "left")
+    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("key")).join(spans, "key", "left")
     if words:
         # A passage has at least a byte a word and one between two.
-        worded = keyed.filter(F.octet_length("text") >= 2 * words - 1).select("key", "text")
-        codes = materialize(worded.mapInArrow(trimmed(_codes), "key string, text binary").filter(F.octet_length("text") >= CODE * words), f"{name}-codes")
-        passages = repeated_spans(codes, CODE * words, f"{name}-words", across=True).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("passages"))
-        discard(codes)
+        worded = keyed.filter(F.octet_length("text") >= 2 * words - 1)
+        passages = repeated_spans(worded, CODE * words, f"{name}-words", across=True, encode=_codes).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("passages"))
         joined = joined.join(passages, "key", "left")
     else:
         joined = joined.withColumn("passages", F.lit(None).cast("array<struct<start: bigint, end: bigint>>"))
-    joined = joined.select("row", "text", "spans", "passages")
+    # The text is taken from the row after the joins: it travels once.
+    joined = joined.select("row", F.coalesce(F.col(f"row.`{text}`").cast("string"), F.lit("")).alias("text"), "spans", "passages")
     types = (BinaryType(), StringType(), LongType(), LongType(), LongType(), StringType())
     schema = StructType([joined.schema["row"], *(StructField(c, t) for c, t in zip(ADDED, types, strict=True))])
     out = joined.mapInArrow(trimmed(lambda batches: _remove(batches, words)), schema)

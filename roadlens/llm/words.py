@@ -45,13 +45,17 @@ class Scratch:
         self.tables.append(materialize(df, f"{self.name}-{name}"))
         return self.tables[-1]
 
-    def clear(self) -> None:
-        while self.tables:
-            df = self.tables.pop()
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that are read no more, and shuffle files of finished steps."""
+        for df in tables:
             discard(df)
-            if not self.tables:
-                # Shuffle files of finished steps go when the driver's JVM collects what named them.
-                df.sparkSession.sparkContext._jvm.System.gc()
+            self.tables = [t for t in self.tables if t is not df]
+        # Shuffle files go when the driver's JVM collects what named them.
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
+
+    def clear(self) -> None:
+        if self.tables:
+            self.drop(*self.tables)
 
 
 def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
