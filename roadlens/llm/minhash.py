@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlens.llm.words import Scratch, mix, shingles, small_batches, text_chunks, trimmed
 from roadlens.operators.components import components
@@ -225,9 +225,18 @@ def _around(near: DataFrame, edges: DataFrame, sets: DataFrame, tested: DataFram
 
     def kept(rows: DataFrame, other: str) -> DataFrame:
         """The elements that each row keeps for each bin of the other side."""
-        rows = rows.withColumn("other", F.explode(other)).withColumn("need", F.greatest(F.lit(1), F.ceil((F.col("n") + F.col("other") * F.col("width") - F.col("size") * ratio) / 2 - 0.001).cast("int")))
-        # What lies beyond the other side's n can't be common either.
-        rows = rows.filter((F.col("need") <= F.size("own")) & (F.col("need") < (F.col("other") + 1) * F.col("width")))
+        most = F.col("size") * ratio + 0.001  # differences that a link allows
+
+        def need(o: Column) -> Column:
+            return F.greatest(F.lit(1), F.ceil((F.col("n") + o * F.col("width") - most) / 2).cast("int"))
+
+        def meets(o: Column) -> Column:
+            """Whether a link into the bin is possible: n differs by no more than the texts do, and what
+            lies beyond the other side's n can't be common."""
+            end = (o + 1) * F.col("width")
+            return (o * F.col("width") <= F.col("n") + most) & (end > F.col("n") - most) & (need(o) <= F.size("own")) & (need(o) < end)
+
+        rows = rows.withColumn("other", F.explode(F.filter(other, meets))).withColumn("need", need(F.col("other")))
         places = F.size("own") - F.col("need") + 1
         return rows.select("centre", "bin", "other", *side, (F.col("need") - 1).alias("rest"), F.explode(F.transform(F.slice("own", F.lit(1), places), lambda o: o["e"])).alias("e"))
 
