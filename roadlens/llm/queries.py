@@ -143,9 +143,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; the model is fitted on a bounded sample of the rows that aren't held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", toxicity.held_out("doc_id"))
-    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").dropDuplicates(["doc_id"])
-    labelled = docs.filter("not held_out").join(labels, "doc_id").withColumnRenamed("doc_id", "id")
-    out = toxicity.score(docs, toxicity.fit(labelled))
+    labels = _table(spark, sf_dir, "labels").filter(~toxicity.held_out("doc_id"))
+    out = toxicity.score(docs, toxicity.fit(docs, labels))
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

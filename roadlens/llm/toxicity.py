@@ -176,24 +176,27 @@ def _weigh(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 MODEL = "base binary, toxic binary, mean array<double>, scale array<double>, weights array<double>"
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", order: str = "id") -> dict[str, Any]:
-    """The model of labelled rows (order, text, label): a bounded sample of each label, fitted in one task.
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> dict[str, Any]:
+    """The model of docs (key, text) with labels (key, label): a bounded sample of each label, fitted in one task.
 
-    The sample holds the rows with the least hash of ``order``. Rows with a null label, a null text or over
-    ``SAMPLE_CHARS`` characters aren't in it. With no toxic or no ordinary rows the score is the share of
-    toxic ones.
+    The sample holds the labels with the least hash of their key, so it is chosen before any text is read, and
+    texts aren't shuffled but for the sample's. Null labels and keys, and texts that are null or over
+    ``SAMPLE_CHARS`` characters, aren't in it. Of a key with several labels or texts the least one counts. With no
+    toxic or no ordinary rows the score is about the share of toxic ones.
     """
-    rows = labelled.select(F.col(order).alias("o"), F.col(text).alias("text"), F.col(label).cast("int").alias("y"))
-    rows = rows.filter((F.length("text") <= SAMPLE_CHARS) & F.col("y").isNotNull())
-    part = lambda y, n: rows.filter(y).orderBy(F.xxhash64("o"), F.col("o"), F.xxhash64("text")).limit(n)
-    sample = part(F.col("y") == 1, SAMPLE_TOXIC).unionByName(part(F.col("y") != 1, SAMPLE_ORDINARY))
+    rows = labels.groupBy(F.col(key).alias("o")).agg(F.min(F.col(label).cast("int")).alias("y")).filter("o is not null and y is not null")
+    part = lambda y, n: rows.filter(y).orderBy(F.xxhash64("o"), F.col("o")).limit(n)
+    chosen = part(F.col("y") == 1, SAMPLE_TOXIC).unionByName(part(F.col("y") != 1, SAMPLE_ORDINARY))
+    own = docs.select(F.col(key).alias("o"), F.col(text).alias("text")).filter(F.length("text") <= SAMPLE_CHARS)
+    # At most SAMPLE_TOXIC + SAMPLE_ORDINARY keys are broadcast.
+    sample = own.join(F.broadcast(chosen), "o").groupBy("o").agg(F.min("text").alias("text"), F.min("y").alias("y"))
 
     def train(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = pd.concat([p for p in parts if len(p)] or [pd.DataFrame({"o": [], "text": [], "y": []})])
-        got = got.sort_values(["h", "text"]) if len(got) else got
+        got = got.sort_values(["h", "o"]) if len(got) else got
         yield pd.DataFrame([fit_texts(got["text"].tolist(), [int(v == 1) for v in got["y"]])])
 
-    one = sample.withColumn("h", F.xxhash64("o", "text")).coalesce(1)
+    one = sample.withColumn("h", F.xxhash64("o")).coalesce(1)
     return one.mapInPandas(train, MODEL).first().asDict()
 
 

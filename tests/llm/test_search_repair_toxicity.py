@@ -182,7 +182,8 @@ def made_up(rng, n):
 @pytest.fixture(scope="module")
 def model(spark):
     rows = made_up(random.Random(1), 600)
-    return toxicity.fit(spark.createDataFrame(rows, "id long, text string, toxic int"))
+    df = spark.createDataFrame(rows, "id long, text string, toxic int")
+    return toxicity.fit(df, df, "id")
 
 
 def test_toxicity_of_unseen_rows(spark, model):
@@ -205,8 +206,9 @@ def test_toxicity_of_odd_rows(spark, model):
 
 
 def test_fit_of_no_or_one_sided_rows(spark):
-    for rows in ([], [(1, "fine words", 0)], [(1, "bad words", 1), (2, None, 0), (3, "more", None)]):
-        one = toxicity.fit(spark.createDataFrame(rows, "id long, text string, toxic int"))
+    for rows in ([], [(None, "x", 1), (1, "a", 0), (1, "b", 1)], [(1, "fine words", 0)], [(1, "bad words", 1), (2, None, 0), (3, "more", None)]):
+        df = spark.createDataFrame(rows, "id long, text string, toxic int")
+        one = toxicity.fit(df, df, "id")
         got = toxicity.score(spark.createDataFrame([(1, "any")], "id long, text string"), one).first()
         assert 0 <= got.score <= 1
 
