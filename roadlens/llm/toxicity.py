@@ -197,7 +197,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         yield pd.DataFrame([fit_texts(got["text"].tolist(), [int(v == 1) for v in got["y"]])])
 
     one = sample.withColumn("h", F.xxhash64("o")).coalesce(1)
-    return one.mapInPandas(train, MODEL).first().asDict()
+    found = one.mapInPandas(train, MODEL).first()
+    return found.asDict() if found else fit_texts([], [])  # an empty plan has no task to fit in
 
 
 def score(docs: DataFrame, model: dict[str, Any], text: str = "text", column: str = "score") -> DataFrame:
