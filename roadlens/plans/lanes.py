@@ -103,9 +103,9 @@ def disposed_issues(spark, sf_dir):
 
 def feature_classes(spark, sf_dir):
     """JN-20: the class of an order is that of the first of its parts, then suppliers, that has one."""
-    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_set("l_partkey")).alias("affected"), F.sort_array(F.collect_set(-F.col("l_suppkey"))).alias("sources"))
+    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_set("l_partkey")).alias("affected"), F.sort_array(F.collect_set(-F.col("l_suppkey") - 1)).alias("sources"))
     parts = table(spark, sf_dir, "part").filter("p_size < 8").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("road_class"))
-    sup = table(spark, sf_dir, "supplier").filter("s_acctbal > 5000").select((-F.col("s_suppkey")).alias("id"), F.lit("supplier").alias("road_class"))
+    sup = table(spark, sf_dir, "supplier").filter("s_acctbal > 5000").select((-F.col("s_suppkey") - 1).alias("id"), F.lit("supplier").alias("road_class"))
     return ops.road_class(items.withColumnRenamed("l_orderkey", "feature"), parts.unionByName(sup))
 
 
@@ -197,7 +197,7 @@ SQL = {
       SELECT n.node, CASE WHEN ways >= 3 THEN 'connector' ELSE 'continuation' END AS kind, count(*) AS n FROM lanes l JOIN o ON l.v = o.node AND l.way <> o.way JOIN n ON n.node = l.v GROUP BY ALL""",
     "disposed_issues": "SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'error' ELSE 'warning' END AS severity, coalesce(l.doc_id, -1) AS finding FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) l ON d.doc_id = l.doc_id",
     "feature_classes": """WITH c AS (SELECT l_orderkey, 0 AS k, p_partkey AS id, p_brand AS road_class FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size < 8
-        UNION SELECT l_orderkey, 1, -s_suppkey, 'supplier' FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal > 5000),
+        UNION SELECT l_orderkey, 1, -s_suppkey - 1, 'supplier' FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal > 5000),
       f AS (SELECT l_orderkey, first(road_class ORDER BY k, id) AS road_class FROM c GROUP BY 1) SELECT o.l_orderkey AS feature, road_class FROM (SELECT DISTINCT l_orderkey FROM lineitem) o LEFT JOIN f ON o.l_orderkey = f.l_orderkey""",
     "lane_starvation": """SELECT l_partkey AS node, l_returnflag AS approach, l_linestatus AS dest, count(DISTINCT l_suppkey) AS n_feeders, count(DISTINCT s_nationkey) AS n_landed
       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL HAVING count(DISTINCT l_suppkey) > count(DISTINCT s_nationkey)""",
