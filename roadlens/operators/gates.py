@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Movements that an override may name.
 MOVEMENTS = ("left", "right", "through", "slight_left", "slight_right", "reverse")
+MOST_LANES = 12
+SIGNAL_RULE, TURN_RULE = "signal_lane_association", "turn_permission_geometry_conflict"
 PLAN_NAME = r"^[A-Za-z0-9][A-Za-z0-9-]{0,39}$"
 
 
@@ -22,27 +24,52 @@ def plan_identity_gate(plans: DataFrame, fingerprint: Column, model: Column) ->
     return plans.select("plan", reason.alias("refused"))
 
 
-def review_gates(decisions: DataFrame, findings: DataFrame) -> DataFrame:
-    """Decisions (finding, evidence, workspace) that a gate stops: finding and gate.
+def review_gates(decisions: DataFrame, findings: DataFrame, workspace: Column, fingerprint: Column, lanes: DataFrame, tag_rules: tuple[str, ...] = ()) -> DataFrame:
+    """Findings whose decision a gate stops, or that need one and have none: finding and gate.
 
-    findings (finding, evidence, workspace, severity, rule). Gates in order: workspace, unknown finding,
-    changed evidence; and findings that are blockers without a decision.
+    decisions (finding, workspace, fingerprint, evidence, status, value as JSON text), findings (finding, evidence, severity, rule) and
+    the lanes of the model (lane). Gates in order, the first one counts: workspace, fingerprint, unknown_finding, evidence,
+    open_blocker (a blocker undecided, unresolved or ignored), tag_rule (an override whose rule is one of ``tag_rules``), and
+    what override_fault says of an override. Nulls differ from everything but null; a decision of nulls is still a decision.
     """
-    now = findings.select("finding", F.col("evidence").alias("_e"), F.col("workspace").alias("_w"), F.col("severity").alias("_s"))
-    both = decisions.join(now, "finding", "full_outer")
+    told = decisions.select("finding", "workspace", "fingerprint", F.col("evidence").alias("_e"), "status", "value", F.lit(True).alias("_told"))
+    both = findings.select("finding", "evidence", "severity", "rule", F.lit(True).alias("_known")).join(told, "finding", "full_outer")
+    fault = with_unknown_lanes(both.filter("status = 'overridden'").select("finding", "rule", "value"), lanes)
+    both = both.join(fault.select("finding", override_fault(F.col("rule"), F.col("value"), F.col("unknown")).alias("_f")).distinct(), "finding", "left")
+    over = F.coalesce(F.col("status") == "overridden", F.lit(False))
+    left = F.coalesce(F.col("status").isin("unresolved", "ignored"), F.lit(True))
     gate = (
-        F.when(F.col("_e").isNull() & F.col("_w").isNull() & F.col("_s").isNull(), "unknown_finding").when(F.col("evidence").isNull() & F.col("workspace").isNull(), F.when(F.col("_s") == "blocker", "open_blocker"))
-        .when(~F.col("workspace").eqNullSafe(F.col("_w")), "workspace").when(~F.col("evidence").eqNullSafe(F.col("_e")), "evidence")
+        F.when(F.col("_told") & ~F.col("workspace").eqNullSafe(workspace), "workspace").when(F.col("_told") & ~F.col("fingerprint").eqNullSafe(fingerprint), "fingerprint")
+        .when(F.col("_known").isNull(), "unknown_finding").when(F.col("_told") & ~F.col("evidence").eqNullSafe(F.col("_e")), "evidence")
+        .when((F.col("severity") == "blocker") & left, "open_blocker").when(over & F.coalesce(F.col("rule").isin(*tag_rules), F.lit(False)), "tag_rule").when(over, F.col("_f"))
     )
     return both.select("finding", gate.alias("gate")).filter("gate is not null")
 
 
-def override_fault(rule: Column, value: Column) -> Column:
-    """Why an override is refused: a lane count is a whole number from 1 to 12, a movement one of six, accepted a boolean."""
-    n = F.expr("cast(null as int)") if value is None else value.try_cast("int")
-    whole = value.rlike(r"^[0-9]+$") & n.between(1, 12)
-    known = F.when(rule == "lane_count", whole).when(rule == "movement", value.isin(*MOVEMENTS)).when(rule == "accepted", value.isin("true", "false"))
-    return F.when(known.isNull() & ~F.coalesce(rule.isin("lane_count", "movement", "accepted"), F.lit(False)), "rule").when(~F.coalesce(known, F.lit(False)), "value")
+def with_unknown_lanes(overrides: DataFrame, lanes: DataFrame) -> DataFrame:
+    """Overrides (finding, value, …) with unknown: whether they name a lane (text) that isn't one of ``lanes`` (lane)."""
+    named = overrides.select("finding", F.explode(F.from_json(F.get_json_object("value", "$.lane_ids"), "array<string>")).alias("lane"))
+    gone = named.join(lanes.select(F.col("lane").cast("string")), "lane", "left_anti").select("finding").distinct().withColumn("unknown", F.lit(True))
+    return overrides.join(gone, "finding", "left").withColumn("unknown", F.coalesce("unknown", F.lit(False)))
+
+
+def override_fault(rule: Column, value: Column, unknown: Column | None = None) -> Column:
+    """Why an override is refused, else null: rule (none that takes one), value, or unknown_lane where ``unknown`` says so.
+
+    The value is JSON: a lane count is a whole number from 1 to 12, not text or a boolean; a movement one of six;
+    accepted a boolean; lane_ids a list of one or more texts. Another shape is refused.
+    """
+    part = lambda key: F.try_variant_get(F.try_parse_json(value), f"$.{key}", "variant")
+    kind = lambda key: F.schema_of_variant(part(key))
+    n = F.try_variant_get(F.try_parse_json(value), "$.lane_count", "bigint")
+    fits = (
+        F.when(rule == "lane_count_inference", (kind("lane_count") == "BIGINT") & n.between(1, MOST_LANES))
+        .when(rule == TURN_RULE, (kind("movement") == "STRING") & F.try_variant_get(F.try_parse_json(value), "$.movement", "string").isin(*MOVEMENTS))
+        .when(rule == "ambiguous_connector", kind("accepted") == "BOOLEAN").when(rule == SIGNAL_RULE, kind("lane_ids") == "ARRAY<STRING>")
+    )
+    known = F.coalesce(rule.isin("lane_count_inference", TURN_RULE, "ambiguous_connector", SIGNAL_RULE), F.lit(False))
+    fault = F.when(~known, "rule").when(~F.coalesce(fits, F.lit(False)), "value")
+    return fault if unknown is None else fault.when((rule == SIGNAL_RULE) & unknown, "unknown_lane")
 
 
 def rewrite_turn(tag: Column, slot: Column, movement: Column, slots: Column) -> Column:
@@ -86,9 +113,21 @@ def effects(decisions: DataFrame, findings: DataFrame) -> DataFrame:
     return out.withColumn("effect", F.when(~F.col("contradicted"), F.col("effect")))
 
 
-def unsatisfied(decisions: DataFrame, after: DataFrame) -> DataFrame:
-    """Accepted or overridden decisions whose finding's question still stands after the review."""
-    return decisions.filter(F.col("status").isin("accepted", "overridden")).join(after.select("question").distinct(), "question", "left_semi")
+def decision_states(decisions: DataFrame, before: DataFrame, after: DataFrame, unmapped: DataFrame) -> DataFrame:
+    """Findings of the reviewed model with the decision that answers their question: finding, state, status, satisfied.
+
+    decisions (finding, status) name findings of the model before (finding, question); a finding after (finding, question,
+    rule, nodes) is decided if its question was. A decision is satisfied once it is made, but for a signal association that still
+    has a node among ``unmapped`` (node), and for an overridden turn conflict, which would be gone had the override settled it.
+    Of findings with the same question before, the last id counts.
+    """
+    asked = before.groupBy("question").agg(F.max("finding").alias("_answers"))
+    told = decisions.select(F.col("finding").alias("_answers"), "status", F.lit(True).alias("_told"))
+    waiting = after.filter(F.col("rule") == SIGNAL_RULE).select("finding", F.explode("nodes").alias("node")).join(unmapped.select("node"), "node", "left_semi")
+    both = after.join(asked, "question", "left").join(told, "_answers", "left").join(waiting.select("finding", F.lit(True).alias("_open")).distinct(), "finding", "left")
+    fine = F.when(F.col("rule") == TURN_RULE, ~F.col("status").eqNullSafe("overridden")).otherwise(F.col("_open").isNull())
+    decided = F.col("_told").isNotNull()
+    return both.select("finding", F.when(decided, "decided").otherwise("undecided").alias("state"), "status", F.when(decided, fine).alias("satisfied"))
 
 
 def fan_out(findings: DataFrame, rule: str, status: str, road_class: str | None = None) -> DataFrame:
@@ -99,13 +138,19 @@ def fan_out(findings: DataFrame, rule: str, status: str, road_class: str | None
 
 
 def rewritten_tags(ways: DataFrame, approved: DataFrame) -> DataFrame:
-    """ways (way, tags) with approved (way, key, value) applied: way, tags, changed keys; ways without a change aren't returned."""
-    new = approved.groupBy("way").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("key", "value")))).alias("_new"))
+    """ways (way, tags) with approved (way, key, value) applied: way, tags, changed and contradicted keys.
+
+    A key with two values is contradicted and stays as it is. Ways without a change or a contradiction aren't returned;
+    rows without a key count for nothing.
+    """
+    one = approved.filter("key is not null").groupBy("way", "key").agg(F.min("value").alias("value"), (F.size(F.collect_set(F.struct("value"))) > 1).alias("_two"))
+    entries = F.array_sort(F.collect_list(F.when(~F.col("_two"), F.struct("key", "value"))))
+    new = one.groupBy("way").agg(F.map_from_entries(entries).alias("_new"), F.array_sort(F.collect_list(F.when(F.col("_two"), F.col("key")))).alias("contradicted"))
     both = ways.join(new, "way")
     new_ones = F.filter(F.map_entries("_new"), lambda e: ~F.coalesce(F.try_element_at("tags", e["key"]) == e["value"], F.lit(False)))
-    both = both.withColumn("changed", F.array_sort(F.transform(new_ones, lambda e: e["key"]))).filter(F.size("changed") > 0)
+    both = both.withColumn("changed", F.array_sort(F.transform(new_ones, lambda e: e["key"]))).filter((F.size("changed") > 0) | (F.size("contradicted") > 0))
     kept = F.map_filter("tags", lambda k, v: ~F.array_contains(F.map_keys("_new"), k))
-    return both.select("way", F.map_concat(kept, "_new").alias("tags"), "changed")
+    return both.select("way", F.map_concat(kept, "_new").alias("tags"), "changed", "contradicted")
 
 
 def question_changes(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -114,13 +159,14 @@ def question_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     return b.join(a, "question", "left_anti").withColumn("change", F.lit("created")).unionByName(a.join(b, "question", "left_anti").withColumn("change", F.lit("resolved")))
 
 
-def open_blockers(findings: DataFrame, decisions: DataFrame | None, open_questions: DataFrame) -> DataFrame:
-    """Blockers that are undecided, or decided but still asked, without those not applicable; all of them without a review."""
+def open_blockers(findings: DataFrame, states: DataFrame | None) -> DataFrame:
+    """Blockers of the reviewed model that are undecided or decided but not satisfied (decision_states), without
+    those not applicable; all of them without a review."""
     blockers = findings.filter(F.col("severity") == "blocker")
-    if decisions is None:
+    if states is None:
         return blockers.select("finding")
-    both = blockers.join(decisions.select("finding", "status"), "finding", "left").join(open_questions.select("question", F.lit(True).alias("_open")).distinct(), "question", "left")
-    return both.filter(F.col("status").isNull() | (F.col("_open").isNotNull() & (F.col("status") != "not_applicable"))).select("finding")
+    both = blockers.join(states, "finding", "left")
+    return both.filter(~F.col("status").eqNullSafe("not_applicable") & ~F.coalesce("satisfied", F.lit(False))).select("finding")
 
 
 def first_by(rows: DataFrame, n: int, *order: Column) -> DataFrame:
@@ -152,6 +198,8 @@ def seeded(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
 
 def worst(rows: DataFrame, keys: list[str], value: str, id_: str) -> DataFrame:
-    """The largest value of each key with its id, the least id of ties."""
-    most = F.max(F.struct(F.col(value).alias("v"), (-F.col(id_)).alias("i"))).alias("m")
-    return rows.groupBy(*keys).agg(most).select(*keys, F.col("m.v").alias(value), (-F.col("m.i")).alias(id_))
+    """The largest value of each key with its id, the least id of ties; ids of any type that has an order."""
+    most = rows.groupBy(*keys).agg(F.max(value).alias("_m"))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
+    both = rows.alias("r").join(most.alias("m"), [*same, F.col(f"r.{value}").eqNullSafe(F.col("m._m"))])
+    return both.groupBy(*[F.col(f"r.{k}") for k in keys], F.col(f"r.{value}")).agg(F.min(F.col(f"r.{id_}")).alias(id_))

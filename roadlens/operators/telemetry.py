@@ -82,4 +82,4 @@ def agreement(left: DataFrame, right: DataFrame, keys: list[str], value: str, to
     """Rows of two channels at one stamp: how many, largest difference, how many are out of tolerance; NaN apart."""
     both = left.select(*keys, F.col(value).alias("_a")).join(right.select(*keys, F.col(value).alias("_b")), keys)
     d = F.abs(F.col("_a") - F.col("_b"))
-    return both.agg(F.count(F.lit(1)).alias("n"), F.max(F.when(~F.isnan(d), d)).alias("largest"), F.count_if(d > tolerance).alias("n_out"))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.max(F.when(~F.isnan(d), d)).alias("largest"), F.count_if(~F.isnan(d) & (d > tolerance)).alias("n_out"))

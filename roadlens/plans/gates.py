@@ -32,20 +32,31 @@ def plan_identity(spark, sf_dir):
     return gates.plan_identity_gate(plans, F.lit("1"), F.lit("1"))
 
 
-def review_gates(spark, sf_dir):
-    """GATE-03; decisions on findings that aren't there come from shifted ids."""
-    d = _decisions(spark, sf_dir).withColumn("finding", F.col("finding") * 2)
-    return gates.review_gates(d.select("finding", "evidence", "workspace"), _findings(spark, sf_dir))
+def _rule(c):
+    """A language as a rule."""
+    names = {"en": gates.SIGNAL_RULE, "de": gates.TURN_RULE, "fr": "lane_count_inference", "es": "ambiguous_connector"}
+    out = F.lit("speed_default")
+    for lang, rule in names.items():
+        out = F.when(c == lang, rule).otherwise(out)
+    return out
+
 
+def review_gates(spark, sf_dir):
+    """GATE-03; decisions on findings that aren't there come from shifted ids, lanes are parts."""
+    value = F.when(F.col("quality") == 0, F.format_string('{"lane_ids": ["%d"], "lane_count": %d, "movement": "left", "accepted": true}', "doc_id", F.col("doc_id") % 20))
+    d = table(spark, sf_dir, "labels").withColumn("value", value).withColumn("at", F.col("doc_id") % 10 - F.col("quality"))
+    status = F.when(F.col("doc_id") % 9 == 0, "ignored").when(F.col("toxic") == 1, "not_applicable").when(F.col("quality") == 1, "accepted").otherwise("overridden")
+    d = d.select((F.col("doc_id") * 2).alias("finding"), F.when(F.col("doc_id") % 14 > 0, "home").alias("workspace"), F.when(F.col("doc_id") % 13 > 0, "now").alias("fingerprint"), F.col("at").alias("evidence"), status.alias("status"), "value")
+    f = _findings(spark, sf_dir).withColumn("rule", _rule(F.col("rule")))
+    return gates.review_gates(d, f, F.lit("home"), F.lit("now"), table(spark, sf_dir, "part").select(F.col("p_partkey").alias("lane")), ("speed_default",))
 
 def override_faults(spark, sf_dir):
     """PRJ-31."""
     i = table(spark, sf_dir, "lineitem")
-    rule = F.when(F.col("l_returnflag") == "R", "lane_count").when(F.col("l_returnflag") == "A", "movement").otherwise("signal")
-    value = F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("int").cast("string")).when(F.col("l_linestatus") == "O", "left").otherwise("upwards")
+    rule = F.when(F.col("l_returnflag") == "R", "lane_count_inference").when(F.col("l_returnflag") == "A", gates.TURN_RULE).otherwise("speed_default")
+    value = F.when(F.col("l_returnflag") == "R", F.format_string('{"lane_count": %d}', F.col("l_quantity").cast("int"))).when(F.col("l_linestatus") == "O", '{"movement": "left"}').otherwise('{"movement": "upwards"}')
     return i.groupBy(F.coalesce(gates.override_fault(rule, value), F.lit("none")).alias("fault")).agg(F.count(F.lit(1)).alias("n"))
 
-
 def turn_rewrites(spark, sf_dir):
     """PRJ-32: slot of a three-lane tag by the line number."""
     i = table(spark, sf_dir, "lineitem")
@@ -72,11 +83,21 @@ def decision_effects(spark, sf_dir):
     return gates.effects(_decisions(spark, sf_dir), f).select("kind", "target", F.coalesce("effect", F.lit("none")).alias("effect"), "contradicted")
 
 
+def _states(spark, sf_dir):
+    """Decisions over documents of the reviewed model: those whose evidence is under 3, with two parts as nodes."""
+    after = _reviewed(spark, sf_dir)
+    unmapped = table(spark, sf_dir, "part").filter("p_size < 10").select(F.col("p_partkey").alias("node"))
+    return gates.decision_states(_decisions(spark, sf_dir), _findings(spark, sf_dir).filter("evidence <> 1"), after, unmapped)
+
+
+def _reviewed(spark, sf_dir):
+    f = _findings(spark, sf_dir).filter("evidence < 3").withColumn("rule", _rule(F.col("rule")))
+    return f.withColumn("nodes", F.array("finding", F.col("finding") + 1))
+
+
 def unsatisfied_decisions(spark, sf_dir):
     """GATE-07."""
-    after = _findings(spark, sf_dir).filter("evidence < 3")
-    return gates.unsatisfied(_decisions(spark, sf_dir), after).select("finding")
-
+    return _states(spark, sf_dir).filter("not satisfied").select("finding", "status")
 
 def bulk_decisions(spark, sf_dir):
     """GATE-08."""
@@ -99,9 +120,7 @@ def question_changes(spark, sf_dir):
 
 def open_blockers(spark, sf_dir):
     """ST-05."""
-    f = _findings(spark, sf_dir)
-    return gates.open_blockers(f, _decisions(spark, sf_dir), f.filter("evidence = 0"))
-
+    return gates.open_blockers(_reviewed(spark, sf_dir), _states(spark, sf_dir))
 
 def queue_head(spark, sf_dir):
     """SO-01: the first hundred of the queue."""
@@ -144,12 +163,17 @@ QUERIES = {
 
 _F = "f AS (SELECT doc_id AS finding, lang AS rule, doc_id % 5 AS evidence, doc_id % 7 AS workspace, CASE WHEN lang = 'en' THEN 'blocker' ELSE 'warning' END AS severity FROM documents)"
 _D = "d AS (SELECT doc_id AS finding, doc_id % 10 - quality AS evidence, doc_id % 14 AS workspace, CASE WHEN toxic = 1 THEN 'not_applicable' WHEN quality = 1 THEN 'accepted' ELSE 'overridden' END AS status FROM labels)"
+_ST = """st AS (SELECT f.finding, d.status, lang, severity, d.finding IS NOT NULL AS decided, CASE WHEN lang = 'de' THEN status <> 'overridden' WHEN lang = 'en' THEN NOT EXISTS (SELECT 1 FROM part WHERE p_size < 10 AND p_partkey IN (f.finding, f.finding + 1)) ELSE true END AS satisfied
+      FROM (SELECT *, rule AS lang FROM f WHERE evidence < 3) f LEFT JOIN (SELECT * FROM d WHERE finding IN (SELECT finding FROM f WHERE evidence <> 1)) d ON f.finding = d.finding)"""
 SQL = {
     "checksum_gate": """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'unrecorded' ELSE 'changed' END AS fault FROM orders WHERE o_orderstatus = 'P' OR o_totalprice > 200000""",
     "plan_identity": "SELECT s_suppkey AS plan, CASE WHEN s_nationkey % 3 <> 1 THEN 'fingerprint' WHEN s_suppkey % 2 <> 1 THEN 'model' END AS refused FROM supplier",
-    "review_gates": f"""WITH {_F}, {_D}, e AS (SELECT finding * 2 AS finding, evidence, workspace FROM d),
-      g AS (SELECT coalesce(e.finding, f.finding) AS finding, CASE WHEN f.finding IS NULL THEN 'unknown_finding' WHEN e.finding IS NULL THEN CASE WHEN severity = 'blocker' THEN 'open_blocker' END
-        WHEN e.workspace <> f.workspace THEN 'workspace' WHEN e.evidence <> f.evidence THEN 'evidence' END AS gate FROM e FULL JOIN f ON e.finding = f.finding) SELECT * FROM g WHERE gate IS NOT NULL""",
+    "review_gates": """WITH f AS (SELECT doc_id AS finding, doc_id % 5 AS evidence, lang FROM documents),
+      d AS (SELECT doc_id * 2 AS finding, doc_id, doc_id % 10 - quality AS evidence, CASE WHEN doc_id % 9 = 0 THEN 'ignored' WHEN toxic = 1 THEN 'not_applicable' WHEN quality = 1 THEN 'accepted' ELSE 'overridden' END AS status, quality FROM labels),
+      g AS (SELECT coalesce(d.finding, f.finding) AS finding, CASE WHEN doc_id % 14 = 0 THEN 'workspace' WHEN doc_id % 13 = 0 THEN 'fingerprint' WHEN f.finding IS NULL THEN 'unknown_finding' WHEN d.evidence <> f.evidence THEN 'evidence'
+          WHEN lang = 'en' AND (doc_id IS NULL OR status = 'ignored') THEN 'open_blocker' WHEN status <> 'overridden' OR doc_id IS NULL THEN NULL WHEN lang NOT IN ('en', 'de', 'fr', 'es') THEN 'tag_rule'
+          WHEN quality <> 0 OR (lang = 'fr' AND doc_id % 20 NOT BETWEEN 1 AND 12) THEN 'value' WHEN lang = 'en' AND doc_id NOT IN (SELECT p_partkey FROM part) THEN 'unknown_lane' END AS gate FROM d FULL JOIN f ON d.finding = f.finding)
+      SELECT * FROM g WHERE gate IS NOT NULL""",
     "override_faults": """WITH k AS (SELECT CASE l_returnflag WHEN 'R' THEN CASE WHEN CAST(l_quantity AS INT) BETWEEN 1 AND 12 THEN 'none' ELSE 'value' END WHEN 'A' THEN CASE WHEN l_linestatus = 'O' THEN 'none' ELSE 'value' END ELSE 'rule' END AS fault FROM lineitem)
       SELECT fault, count(*) AS n FROM k GROUP BY 1""",
     "turn_rewrites": """WITH k AS (SELECT CASE WHEN l_linestatus <> 'O' THEN 'refused' WHEN l_linenumber = 1 THEN 'reverse|through|right' WHEN l_linenumber = 2 THEN 'left|reverse|right' WHEN l_linenumber = 3 THEN 'left|through|reverse' ELSE 'refused' END AS tag FROM lineitem)
@@ -161,12 +185,12 @@ SQL = {
         UNION SELECT plan, name, 'repeated_name' FROM c WHERE ns > 1 UNION SELECT plan, name, 'repeated_lane' FROM c WHERE ls > 1) SELECT plan, fault, count(*) AS n FROM f GROUP BY ALL""",
     "decision_effects": f"""WITH {_F}, {_D}, k AS (SELECT rule AS kind, f.finding // 4 AS target, CASE WHEN (status = 'accepted') = (f.evidence < 2) THEN 'forbid' ELSE 'allow' END AS w FROM d JOIN f ON d.finding = f.finding WHERE status <> 'not_applicable')
       SELECT kind, target, CASE WHEN min(w) < max(w) THEN 'none' ELSE min(w) END AS effect, min(w) < max(w) AS contradicted FROM k GROUP BY ALL""",
-    "unsatisfied_decisions": f"WITH {_D} SELECT finding FROM d WHERE status <> 'not_applicable' AND finding % 5 < 3 AND finding IN (SELECT doc_id FROM documents)",
+    "unsatisfied_decisions": f"WITH {_F}, {_D}, {_ST} SELECT finding, status FROM st WHERE decided AND NOT satisfied",
     "bulk_decisions": "SELECT doc_id AS finding, 'accepted' AS status FROM documents WHERE lang = 'de'",
     "rewritten_maps": f"""WITH {TAGS_SQL}, p AS (SELECT o_orderkey FROM orders WHERE o_totalprice > 100000)
       SELECT t.o_orderkey AS way, 'lanes' AS changed, '2' AS lanes, 2 + CAST(oneway IS NOT NULL AS BIGINT) + CAST(access IS NOT NULL AS BIGINT) + CAST(forward IS NOT NULL AS BIGINT) AS n_tags FROM tags t JOIN p ON t.o_orderkey = p.o_orderkey WHERE lanes <> 2""",
     "question_changes": "SELECT doc_id AS question, 'created' AS change FROM documents WHERE doc_id % 5 = 1 UNION ALL SELECT doc_id, 'resolved' FROM documents WHERE doc_id % 5 = 2",
-    "open_blockers": f"WITH {_F}, {_D} SELECT f.finding FROM f LEFT JOIN d ON f.finding = d.finding WHERE severity = 'blocker' AND (status IS NULL OR (f.evidence = 0 AND status <> 'not_applicable'))",
+    "open_blockers": f"WITH {_F}, {_D}, {_ST} SELECT finding FROM st WHERE severity = 'blocker' AND (NOT decided OR (NOT satisfied AND status <> 'not_applicable'))",
     "queue_head": "SELECT row_number() OVER (ORDER BY CASE lang WHEN 'fr' THEN 0 WHEN 'de' THEN 1 WHEN 'en' THEN 1 ELSE 10 END, lang, doc_id) AS place, doc_id AS finding FROM documents QUALIFY place <= 100",
     "issue_head": "WITH c AS (SELECT c_mktsegment AS code, coalesce(CASE WHEN c_custkey % 3 > 0 THEN CAST(c_custkey AS VARCHAR) END, '') AS id, c_name AS reason FROM customer) SELECT row_number() OVER (ORDER BY code, id, reason) AS place, code, reason FROM c QUALIFY place <= 50",
     "conflict_head": "SELECT row_number() OVER (ORDER BY s_acctbal DESC, s_nationkey + s_suppkey % 5, s_name) AS place, s_suppkey FROM supplier QUALIFY place <= 40",
