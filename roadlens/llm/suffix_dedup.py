@@ -8,7 +8,7 @@ each of the places that can repeat each other:
 1. A string of ``length`` bytes that occurs twice has the same least 8-gram (by hash, leftmost of ties)
    in both places. That anchor groups possible repeats: a range of string starts at one distance from
    the anchor has a core that all its strings share and a hull that they cover. Ranges whose core occurs
-   once go; of those whose hull occurs twice (by 128 bits of hash) all strings are repeated.
+   once go; of those whose hull occurs twice (by a BLAKE2b digest of 128 bits) all strings are repeated.
 2. Other ranges of a core, with one of each settled hull, are a group. Its suffixes at the core's left
    edge are sorted; then bytes are put before them one by one: a stable sort by that byte is the step of
    the transform, and a common prefix grows by one within a byte and ends between two bytes. Intervals
@@ -43,7 +43,6 @@ _POSITION_BITS = 24
 _PIECE = 200_000  # longer texts are read in pieces of so many string starts
 
 
-_SECOND = np.uint64(0xD6E8FEB86659FD93)
 _COLUMNS = ["key", "anchor", "lo", "hi", "core", "hull", "more"]
 RANGE = "key string, anchor long, lo int, hi int, core long, hull long, more long"
 
@@ -76,17 +75,24 @@ def _cut(anchor: np.ndarray, lo: np.ndarray, hi: np.ndarray, width: int) -> tupl
     return row, block, np.maximum(lo[row], block * width), np.minimum(hi[row], block * width + width - 1)
 
 
-def _ranges(prefix: np.ndarray, anchor: np.ndarray, lo: np.ndarray, hi: np.ndarray, width: int, length: int) -> tuple[np.ndarray, ...]:
+def _digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Two columns of 64 bits of data[start:end]. Nobody can build texts that collide, as for sums of powers."""
+    view = memoryview(np.ascontiguousarray(data))
+    raw = b"".join([hashlib.blake2b(view[s:e], digest_size=16).digest() for s, e in zip(start.tolist(), end.tolist(), strict=True)])
+    return np.frombuffer(raw, np.uint64).reshape(-1, 2)
+
+
+def _ranges(data: np.ndarray, anchor: np.ndarray, lo: np.ndarray, hi: np.ndarray, width: int, length: int) -> tuple[np.ndarray, ...]:
     """Ranges of one width with the hashes of their cores and hulls."""
     row, block, lo, hi = _cut(anchor, lo, hi, width)
     a = anchor[row]
     top = np.minimum(block * width + width - 1, length - GRAM)
     mark = mix(block.astype(np.uint64) + np.uint64(977 * width))
-    core = span_hashes(prefix, a - block * width, a - top + length) ^ mark
+    core = span_hashes(prefix_hashes(data), a - block * width, a - top + length) ^ mark
     own = mix(mark + (lo * 1024 + hi).astype(np.uint64))
-    hull = span_hashes(prefix, a - hi, a - lo + length) ^ own
-    # The second hash weighs the anchored bytes before and after the anchor's gram apart from the first.
-    more = mix(span_hashes(prefix, a - hi, a + GRAM) * _SECOND + span_hashes(prefix, a, a - lo + length) + own)
+    # Cores only bring ranges together; hulls decide, so they rest on no sum of powers.
+    digest = _digests(data, a - hi, a - lo + length)
+    hull, more = digest[:, 0] ^ own, digest[:, 1] ^ own
     return row, a, lo, hi, core.view(np.int64), hull.view(np.int64), more.view(np.int64)
 
 
@@ -106,7 +112,7 @@ def _first(length: int):
                     change = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
                     end = np.r_[change[1:], len(at)] - 1
                     anchor = at[change]
-                    _, a, *rest = _ranges(prefix_hashes(data), anchor, anchor - end, anchor - change, WIDTHS[0], length)
+                    _, a, *rest = _ranges(data, anchor, anchor - end, anchor - change, WIDTHS[0], length)
                     for column, value in zip(out, (a + base, *rest), strict=True):
                         column.append(value)
                     docs.append(np.full(len(a), r))
@@ -136,7 +142,7 @@ def _narrower(width: int, length: int):
                 anchor, lo, hi = (np.asarray(part.column(c)).astype(np.int64) for c in (1, 2, 3))
                 raw = part.column(4).to_pylist()
                 local = np.cumsum([0] + [len(x) for x in raw])[:-1] + hi
-                row, _, lo, hi, *sums = _ranges(prefix_hashes(np.frombuffer(b"".join(raw), np.uint8)), local, lo, hi, width, length)
+                row, _, lo, hi, *sums = _ranges(np.frombuffer(b"".join(raw), np.uint8), local, lo, hi, width, length)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(row)), pa.array(anchor[row]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), *map(pa.array, sums)], _COLUMNS
                 )
