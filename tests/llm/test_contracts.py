@@ -104,3 +104,39 @@ def test_suffixes_of_any_value_are_evidence(spark):
     model = language.fit_text_model(docs.select("id", "text", "lang"))
     got = {r.id: r.detected for r in language.identify(docs, model, suffix="suffix", host="host").collect()}
     assert got[100] == "en" and got[101] == "de" and all(got[i] == r[2] for i, r in enumerate(rows))
+
+
+def test_html_keeps_article_text_and_reads_broken_markup_in_time():
+    import time
+
+    tree = html_text.grow(html_text.LABELLED)
+    text = lambda page: html_text.main_text(page, tree)
+    assert text("<article><p title=don't>A long paragraph. It's fine.</p></article>") == "A long paragraph. It's fine."
+    assert text("<article><p>See <a href=x>long text</a></p><p><a href=y>only a link</a></p></article>") == "See long text\nonly a link"
+    assert text("<main><ul><li><a>menu</a></li><li><a>more</a></li></ul><p>One.</p></main>") == "One."
+    assert text("<main><p data-a='class=ad'>One.</p><p class=ad>Two.</p><p>1 < 2 &amp; 3</ x</p></main>") == "One.\n1 < 2 & 3</ x"
+    assert text("<main><!--><p>One.<svg/> Two.</p><script>'<p>no'</script><select><p>Three.</p></main><p class=") == "One. Two.\nThree."
+    assert text('<main><p>One.</p><p class="x>Two.</p></main>') == "One.\nTwo."
+    for place in (2,):
+        for words in (1, 3, 8, 40, 300):
+            for density in (0.0, 0.4, 0.8, 1.0):
+                assert all(html_text.decide(tree, (place, words, density, n, d, m, 1.0)) for n in (-1, 2, 50) for d in (0.0, 1.0) for m in (-1, 3, 90))
+    for piece in ('<a "', "<div>", "<div></p>", '<a b="', "<!-- ", "<svg>", "</script", "<a b=c ", "<", "<select>"):
+        began = time.process_time()
+        text(piece * (250_000 // len(piece)))
+        assert time.process_time() - began < 2, piece
+
+
+def test_hulls_of_long_repeats_do_not_rest_on_sums_of_powers(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(suffix_dedup, "span_hashes", lambda prefix, start, end: np.zeros(len(start), np.uint64))  # every sum collides
+    rng = np.random.default_rng(4)
+    one = rng.integers(97, 123, 600).astype(np.uint8)
+    other = np.r_[rng.integers(97, 123, 192).astype(np.uint8), one[192:]]
+    at, lo, hi = np.array([195, 395]), np.array([0, 3]), np.array([195, 190])
+    mine, theirs, again = (suffix_dedup._ranges(x, at, lo, hi, 200, 400) for x in (one, other, one.copy()))
+    assert all(np.array_equal(a, b) for a, b in zip(mine, again, strict=True))
+    assert np.array_equal(mine[4], theirs[4])  # cores collide
+    unlike = np.array([not np.array_equal(one[a - h : a - low + 400], other[a - h : a - low + 400]) for a, low, h in zip(*mine[1:4], strict=True)])
+    assert unlike.any() and np.array_equal(mine[5] != theirs[5], unlike) and np.array_equal(mine[6] != theirs[6], unlike)
