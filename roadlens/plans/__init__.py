@@ -6,12 +6,12 @@ events (event_type a topic, user_id a source). Each query runs over whole tables
 
 from __future__ import annotations
 
-from roadlens.plans import gates, graph, lanes, review, roads, spatial, surveys, telemetry, tracks
+from roadlens.plans import gates, graph, lanes, paths, review, roads, spatial, surveys, telemetry, tracks
 
 
 def queries() -> dict:
-    return roads.QUERIES | telemetry.QUERIES | tracks.QUERIES | review.QUERIES | graph.QUERIES | surveys.QUERIES | lanes.QUERIES | gates.QUERIES | spatial.QUERIES
+    return roads.QUERIES | telemetry.QUERIES | tracks.QUERIES | review.QUERIES | graph.QUERIES | surveys.QUERIES | lanes.QUERIES | gates.QUERIES | spatial.QUERIES | paths.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return roads.SQL | telemetry.SQL | tracks.SQL | review.SQL | graph.SQL | surveys.SQL | lanes.SQL | gates.SQL | spatial.SQL
+    return roads.SQL | telemetry.SQL | tracks.SQL | review.SQL | graph.SQL | surveys.SQL | lanes.SQL | gates.SQL | spatial.SQL | paths.SQL
