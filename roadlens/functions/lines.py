@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def movement_side(tag: Column, family: Column, angle: Column, least: float = 10.0) -> Column:
-    """left or right: a tag that names exactly one of both, else the family, else the sign of a large enough angle."""
+def movement_side(tag: Column, family: Column, angle: Column, driving: Column, least: float = 10.0) -> Column:
+    """nearside or offside of traffic that drives on the ``driving`` side (left or right); null for straight on.
+
+    The turn is what a tag says that names exactly one of both, else the family, else the sign of a large enough angle.
+    """
     left, right = F.coalesce(F.contains(tag, F.lit("left")), F.lit(False)), F.coalesce(F.contains(tag, F.lit("right")), F.lit(False))
-    return (
+    turn = (
         F.when(left & ~right, "left").when(right & ~left, "right").when(family.isin("left", "right"), family)
         .when(F.abs(angle) >= least, F.when(angle > 0, "left").otherwise("right"))
     )
+    return F.when(turn == driving, "nearside").when(turn != driving, "offside")
 
 
 def is_signal_node(tags: Column, key: str = "highway") -> Column:

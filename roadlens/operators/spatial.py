@@ -103,18 +103,32 @@ def nearest_line(points: DataFrame, lines: DataFrame, reach: float) -> DataFrame
 
 
 def geometry_faults(points: DataFrame, lines: DataFrame, key: str) -> DataFrame:
-    """(key, fault) of lines: not_finite, too_few, no_length, not_simple (segments of one line that aren't neighbours meet)."""
+    """(key, fault) of lines: not_finite, too_few, no_length, not_simple.
+
+    A line isn't simple if segments of it that aren't neighbours cross or touch, or one turns straight back on the one
+    before it. Repeated points are no fault, and a ring may close.
+    """
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf"))
     own = points.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.bool_and(finite("x") & finite("y")).alias("finite"))
     length = lines.groupBy(key).agg(F.sum("size").alias("length"))
     basic = own.join(length, key, "left")
     fault = F.when(~F.col("finite"), "not_finite").when(F.col("n") < 2, "too_few").when(F.coalesce("length", F.lit(0.0)) <= 0, "no_length")
-    other = lines.select(key, *(F.col(c).alias(f"o_{c}") for c in ("seg", "x1", "y1", "x2", "y2")))
-    pairs = lines.join(other, key).filter("o_seg > seg + 1")  # within one line only
+    w = Window.partitionBy(key).orderBy("seg")
+    long = lines.filter("size > 0").withColumn("n", F.row_number().over(w)).withColumn("end", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    other = long.select(key, *(F.col(c).alias(f"o_{c}") for c in ("n", "x1", "y1", "x2", "y2")))
+    box = " and ".join(f"least({p}{c}1, {p}{c}2) <= greatest({q}{c}1, {q}{c}2)" for c in "xy" for p, q in (("", "o_"), ("o_", "")))
+    pairs = long.join(other, key).filter(f"o_n > n and {box}")  # within one line only
     cross = lambda x1, y1, x2, y2, x, y: (F.col(x2) - F.col(x1)) * (F.col(y) - F.col(y1)) - (F.col(y2) - F.col(y1)) * (F.col(x) - F.col(x1))
     a, b = cross("x1", "y1", "x2", "y2", "o_x1", "o_y1"), cross("x1", "y1", "x2", "y2", "o_x2", "o_y2")
     c, d = cross("o_x1", "o_y1", "o_x2", "o_y2", "x1", "y1"), cross("o_x1", "o_y1", "o_x2", "o_y2", "x2", "y2")
-    crossed = pairs.filter((a * b < 0) & (c * d < 0)).select(key).distinct().withColumn("fault", F.lit("not_simple"))
+    meet = (F.signum(a) * F.signum(b) <= 0) & (F.signum(c) * F.signum(d) <= 0)
+    closes = (F.col("n") == 1) & (F.col("o_n") == F.col("end")) & (F.col("x1") == F.col("o_x2")) & (F.col("y1") == F.col("o_y2"))
+    ahead = (F.col("x2") - F.col("x1")) * (F.col("o_x2") - F.col("o_x1")) + (F.col("y2") - F.col("y1")) * (F.col("o_y2") - F.col("o_y1"))
+    joined = (F.col("o_n") == F.col("n") + 1) | closes
+    # The end that neighbours share aside: the far end of the one is on the line of the other, and it leads back.
+    back = F.when(F.col("o_n") == F.col("n") + 1, b == 0).otherwise(a == 0) & (ahead < 0)
+    bad = F.when(joined, back).otherwise(meet)
+    crossed = pairs.filter(bad).select(key).distinct().withColumn("fault", F.lit("not_simple"))
     return basic.select(key, fault.alias("fault")).filter("fault is not null").unionByName(crossed)
 
 
@@ -124,13 +138,18 @@ def inside(fixes: DataFrame, box: DataFrame, x: str, y: str, pad: float) -> Data
     return both.withColumn("inside", F.col(x).between(F.col("min_x") - pad, F.col("max_x") + pad) & F.col(y).between(F.col("min_y") - pad, F.col("max_y") + pad)).drop("min_x", "min_y", "max_x", "max_y")
 
 
-def source_audit(source: DataFrame, graph: DataFrame, key: str, tags: list[str], x: str, y: str, tolerance: float = 1e-12) -> DataFrame:
-    """Ids that differ between a source and its graph: (key, fault): missing, extra, tag or coordinate mismatch."""
-    side = lambda df, n: df.select(key, F.struct(*tags).alias(f"{n}_tags"), F.col(x).alias(f"{n}_x"), F.col(y).alias(f"{n}_y"), F.lit(True).alias(n))
+def source_audit(source: DataFrame, graph: DataFrame, key: str, tags: list[str], x: str, y: str, tolerance: float = 1e-12, directions: str | None = None) -> DataFrame:
+    """Ids that differ between a source and its graph: (key, fault): missing, extra, tag, coordinate or direction mismatch.
+
+    A coordinate that one side lacks is a mismatch. ``directions`` is a column of the ways of travel, if there is one.
+    """
+    way = F.col(directions) if directions else F.lit(None).cast("string")
+    side = lambda df, n: df.select(key, F.struct(*tags).alias(f"{n}_tags"), F.col(x).alias(f"{n}_x"), F.col(y).alias(f"{n}_y"), way.alias(f"{n}_way"), F.lit(True).alias(n))
     both = side(source, "s").join(side(graph, "g"), key, "full_outer")
     there = F.col("s").isNotNull() & F.col("g").isNotNull()
-    far = (F.abs(F.col("s_x") - F.col("g_x")) > tolerance) | (F.abs(F.col("s_y") - F.col("g_y")) > tolerance)
-    faults = [F.when(F.col("g").isNull(), "missing"), F.when(F.col("s").isNull(), "extra"), F.when(there & ~F.col("s_tags").eqNullSafe(F.col("g_tags")), "tag_mismatch"), F.when(there & far, "coordinate_mismatch")]
+    off = lambda c: ~F.col(f"s_{c}").eqNullSafe(F.col(f"g_{c}")) & F.coalesce(F.abs(F.col(f"s_{c}") - F.col(f"g_{c}")) > tolerance, F.lit(True))
+    far = off("x") | off("y")
+    faults = [F.when(F.col("g").isNull(), "missing"), F.when(F.col("s").isNull(), "extra"), F.when(there & ~F.col("s_tags").eqNullSafe(F.col("g_tags")), "tag_mismatch"), F.when(there & far, "coordinate_mismatch"), F.when(there & ~F.col("s_way").eqNullSafe(F.col("g_way")), "direction_mismatch")]
     return both.select(key, F.explode(F.array_compact(F.array(*faults))).alias("fault"))
 
 
@@ -143,14 +162,17 @@ def tagged_edges(edges: DataFrame, warnings: DataFrame, way: str) -> DataFrame:
 def preflight(edges: DataFrame, components: DataFrame) -> DataFrame:
     """Issues (code, id, reason) of a network's edges (edge, u, x, y, lanes, oneway, reversed), each once.
 
-    components (id, component) of the nodes: one issue for each beyond the largest.
+    components (id, component) of the nodes: one issue for each beyond the largest. A network without edges has
+    one issue, empty, without an id.
     """
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf"))
     bad = {
-        "bad_coordinate": F.col("x").isNull() | F.col("y").isNull() | F.isnan("x") | F.isnan("y"), "missing_lanes": F.col("lanes").isNull(),
+        "bad_coordinate": ~finite("x") | ~finite("y"), "missing_lanes": F.col("lanes").isNull(),
         "conflicting_direction": F.col("oneway") & F.col("reversed"),
     }
     own = edges.select(F.explode(F.array_compact(F.array(*[F.when(c, n) for n, c in bad.items()]))).alias("code"), F.col("edge").alias("id"))
     sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("m"))
     apart = sizes.crossJoin(F.broadcast(largest)).filter(F.col("component") != -F.col("m.c")).select(F.lit("disconnected").alias("code"), F.col("component").alias("id"))  # one row
-    return own.unionByName(apart).distinct()
+    empty = edges.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(F.lit("empty").alias("code"), F.lit(None).cast(dict(edges.dtypes)["edge"]).alias("id"))
+    return own.unionByName(apart).unionByName(empty).distinct()

@@ -101,7 +101,7 @@ def line_scalars(spark, sf_dir):
     """SC-06, SC-09, SC-10, PRJ-12, PRJ-15, PRJ-26: rules of one row each, over lineitems."""
     i = table(spark, sf_dir, "lineitem")
     q, p = F.col("l_quantity"), F.col("l_extendedprice")
-    side = scalars.movement_side(F.when(q > 40, "left;through").when(q > 30, "right"), F.when(q > 20, "left"), q - 15)
+    side = scalars.movement_side(F.when(q > 40, "left;through").when(q > 30, "right"), F.when(q > 20, "left"), q - 15, F.when(F.col("l_linenumber") % 2 == 0, "left").otherwise("right"))
     return i.groupBy(side.alias("side"), scalars.is_stub(q, F.lit(5.0)).alias("stub")).agg(
         F.sum(scalars.count_from_density(q, p)).alias("cars"), F.round(F.sum(scalars.arrival_s(p, F.when(q > 10, q))), 2).alias("seconds"),
         F.round(F.sum(scalars.step_s(F.when(q > 45, q), F.when(q > 25, F.lit(0.05)))), 4).alias("steps"), F.count_if(scalars.is_signal_node(F.create_map(F.col("l_returnflag"), F.lit("traffic_signals")), "R")).alias("signals"),
@@ -138,9 +138,11 @@ SQL = {
       t AS (SELECT point, px, py, c.*, (x2 - x1) ** 2 + (y2 - y1) ** 2 AS z FROM v, c), u AS (SELECT *, CASE WHEN z > 0 THEN least(greatest(((px - x1) * (x2 - x1) + (py - y1) * (y2 - y1)) / z, 0), 1) ELSE 0 END AS t FROM t),
       d AS (SELECT point, min(sqrt((px - x1 - t * (x2 - x1)) ** 2 + (py - y1 - t * (y2 - y1)) ** 2)) AS distance FROM u GROUP BY 1) SELECT point, round(distance, 5) AS distance FROM d WHERE distance <= 5""",
     "geometry_faults": f"""{_S}, n AS (SELECT l_orderkey, count(*) AS n FROM p GROUP BY 1), l AS (SELECT l_orderkey, sum(size) AS length FROM s GROUP BY 1),
-      m AS (SELECT a.l_orderkey, (a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1) AS a, (a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1) AS b,
-        (b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1) AS c, (b.x2 - b.x1) * (a.y2 - b.y1) - (b.y2 - b.y1) * (a.x2 - b.x1) AS d FROM s a JOIN s b ON a.l_orderkey = b.l_orderkey AND b.seg > a.seg + 1),
-      f AS (SELECT n.l_orderkey, CASE WHEN n < 2 THEN 'too_few' ELSE 'no_length' END AS fault FROM n LEFT JOIN l ON n.l_orderkey = l.l_orderkey WHERE n < 2 OR coalesce(length, 0) <= 0 UNION ALL SELECT DISTINCT l_orderkey, 'not_simple' FROM m WHERE a * b < 0 AND c * d < 0)
+      g AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY seg) AS i, count(*) OVER (PARTITION BY l_orderkey) AS e FROM s WHERE size > 0),
+      m AS (SELECT a.l_orderkey, a.i AS i, b.i AS j, a.e AS e, a.x1 = b.x2 AND a.y1 = b.y2 AS ring, (a.x2 - a.x1) * (b.x2 - b.x1) + (a.y2 - a.y1) * (b.y2 - b.y1) AS ahead, (a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1) AS a, (a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1) AS b,
+        (b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1) AS c, (b.x2 - b.x1) * (a.y2 - b.y1) - (b.y2 - b.y1) * (a.x2 - b.x1) AS d FROM g a JOIN g b ON a.l_orderkey = b.l_orderkey AND b.i > a.i
+        AND least(a.x1, a.x2) <= greatest(b.x1, b.x2) AND least(b.x1, b.x2) <= greatest(a.x1, a.x2) AND least(a.y1, a.y2) <= greatest(b.y1, b.y2) AND least(b.y1, b.y2) <= greatest(a.y1, a.y2)),
+      f AS (SELECT n.l_orderkey, CASE WHEN n < 2 THEN 'too_few' ELSE 'no_length' END AS fault FROM n LEFT JOIN l ON n.l_orderkey = l.l_orderkey WHERE n < 2 OR coalesce(length, 0) <= 0 UNION ALL SELECT DISTINCT l_orderkey, 'not_simple' FROM m WHERE CASE WHEN j = i + 1 THEN b = 0 AND ahead < 0 WHEN i = 1 AND j = e AND ring THEN a = 0 AND ahead < 0 ELSE sign(a) * sign(b) <= 0 AND sign(c) * sign(d) <= 0 END)
       SELECT fault, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS ids FROM f GROUP BY 1""",
     "fixes_inside": """WITH b AS (SELECT min(c_nationkey) AS a, min(c_acctbal) AS b, max(c_nationkey) AS c, max(c_acctbal) AS d FROM customer WHERE c_acctbal BETWEEN 0 AND 5000)
       SELECT s_suppkey, s_nationkey BETWEEN a - 50 AND c + 50 AND s_acctbal BETWEEN b - 50 AND d + 50 AS inside FROM supplier, b""",
@@ -148,7 +150,8 @@ SQL = {
       UNION ALL SELECT p_partkey, 'tag_mismatch' FROM part WHERE p_size = 7 UNION ALL SELECT p_partkey, 'coordinate_mismatch' FROM part WHERE p_size < 45 AND p_size % 9 = 7""",
     "warned_edges": """WITH w AS (SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS codes FROM lineitem WHERE l_quantity > 30 GROUP BY 1)
       SELECT coalesce(codes, '') AS codes, count(*) AS n FROM lineitem LEFT JOIN w ON lineitem.l_orderkey = w.l_orderkey GROUP BY 1""",
-    "line_scalars": """WITH k AS (SELECT *, CASE WHEN l_quantity > 40 THEN 'left' WHEN l_quantity > 30 THEN 'right' WHEN l_quantity > 20 THEN 'left' WHEN abs(l_quantity - 15) >= 10 THEN CASE WHEN l_quantity > 15 THEN 'left' ELSE 'right' END END AS side, l_quantity <= 5.01 AS stub FROM lineitem)
+    "line_scalars": """WITH j AS (SELECT *, CASE WHEN l_quantity > 40 THEN 'left' WHEN l_quantity > 30 THEN 'right' WHEN l_quantity > 20 THEN 'left' WHEN abs(l_quantity - 15) >= 10 THEN CASE WHEN l_quantity > 15 THEN 'left' ELSE 'right' END END AS turn FROM lineitem),
+      k AS (SELECT *, CASE WHEN (turn = 'left') = (l_linenumber % 2 = 0) THEN 'nearside' WHEN turn IS NOT NULL THEN 'offside' END AS side, l_quantity <= 5.01 AS stub FROM j)
       SELECT side, stub, CAST(sum(CASE WHEN l_quantity > 0 THEN greatest(1, round(l_quantity * l_extendedprice / 1000)) ELSE 0 END) AS BIGINT) AS cars, round(sum(CASE WHEN l_quantity > 10 THEN l_extendedprice / l_quantity END), 2) AS seconds,
         round(sum(CASE WHEN l_quantity > 45 THEN l_quantity WHEN l_quantity > 25 THEN 0.05 ELSE 0.1 END), 4) AS steps, count(*) FILTER (l_returnflag = 'R') AS signals FROM k GROUP BY ALL""",
 }
