@@ -196,10 +196,12 @@ def _around(near: DataFrame, edges: DataFrame, sets: DataFrame, tested: DataFram
     the size of either. So x and y need c = (n(x) + n(y) - L) / 2 common elements: with one order of the
     elements, the first of them lies among the first |D| - c + 1 elements of both. The other side's n
     is known by its bin, which is part of the key, so each side holds back as many elements as that bin
-    asks for; where a side has fewer shared elements than c, it has no row for the bin at all. Rare
-    elements come first, those of one document only aren't held. How many kept elements meet
-    bounds the common ones again. Only an x that the centre isn't linked with needs a partner here, as
-    members that a path of known links connects need no more links.
+    asks for. Of its elements only those count that some member in that bin has as well: each element
+    carries the bins of its members as bits (bins 64 apart share a bit, so a bit may say too much, never
+    too little). Where fewer of them than c are left, the side has no row for the bin at all. Rare
+    elements come first, those of one component only aren't held. How many kept elements meet
+    bounds the common ones again. Members that a path of known links connects need no more links, so
+    one of two is outside the component that most members are in: x here, one of ``far``.
     """
     ratio = (100 - threshold) / threshold
     left = sets.select(F.col("doc_id").alias("centre"), F.col("own").alias("own_c"))
@@ -212,19 +214,28 @@ def _around(near: DataFrame, edges: DataFrame, sets: DataFrame, tested: DataFram
     own = differ.filter("linked").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b"))
     comp = components(edges.unionByName(own), name=f"{scratch.name}-second").select(F.col("id").alias("doc_id"), "component")
     apart = scratch(differ.select("centre", "doc_id").join(comp, "doc_id", "left").select("centre", "doc_id", F.coalesce("component", "doc_id").alias("comp")), "apart")
-    open_ = apart.groupBy("centre").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("centre")
-    differ = differ.join(apart.join(open_, "centre", "left_semi"), ["centre", "doc_id"]).withColumn("n", F.size("delta")).withColumn("bin", F.expr("n div width").cast("int"))
+    parts = apart.groupBy("centre", "comp").agg(F.count(F.lit(1)).alias("k"))
+    open_ = parts.groupBy("centre").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("k", "comp")).alias("most")).filter("lo < hi")
+    apart = apart.join(open_, "centre").select("centre", "doc_id", "comp", (F.col("comp") != F.col("most.comp")).alias("far"))
+    differ = differ.join(apart, ["centre", "doc_id"]).withColumn("n", F.size("delta")).withColumn("bin", F.expr("n div width").cast("int"))
     differ = scratch(differ, "open")
-    elements = differ.select("centre", "doc_id", F.explode("delta").alias("e"))
-    common = scratch(elements.groupBy("centre", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), "common")
-    ordered = elements.join(common, ["centre", "e"]).groupBy("centre", "doc_id").agg(F.sort_array(F.collect_list(F.struct("often", "e"))).alias("own"))
+    elements = differ.select("centre", "doc_id", "comp", "far", "bin", F.explode("delta").alias("e"))
+    ends = [F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("far").alias("far"), F.count(F.lit(1)).alias("often")]
+    by_bin = elements.groupBy("centre", "e", "bin").agg(*ends).withColumn("bit", F.expr("shiftleft(1L, bin % 64)"))
+    ends = [F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("far").alias("far"), F.sum("often").alias("often")]
+    # Bins of all members that have the element, of those of far, and bins with members of two components.
+    bits = [F.bit_or("bit").alias("any"), F.bit_or(F.when(F.col("far"), F.col("bit"))).alias("outer"), F.bit_or(F.when(F.col("lo") < F.col("hi"), F.col("bit"))).alias("mixed")]
+    common = by_bin.groupBy("centre", "e").agg(*ends, *bits).filter("lo < hi and far").select("centre", "e", "often", "any", "outer", F.coalesce("mixed", F.lit(0)).alias("mixed"))
+    common = scratch(common, "common")
+    shared = F.struct("often", "e", "any", "outer", "mixed")
+    ordered = elements.select("centre", "doc_id", "e").join(common, ["centre", "e"]).groupBy("centre", "doc_id").agg(F.sort_array(F.collect_list(shared)).alias("own"))
     side = ["doc_id", "comp", "n", "size"]
     # Bins are few: a link allows as many differences as BINS_OF_ALLOWED of them, and no D is larger than both sets.
-    bins = differ.groupBy("centre").agg(F.collect_set("bin").alias("bins"), F.collect_set(F.when(~F.col("linked"), F.col("bin"))).alias("far_bins"))
-    held = scratch(ordered.join(differ.select("centre", "linked", "width", "bin", *side), ["centre", "doc_id"]).join(bins, "centre"), "held")
+    bins = differ.groupBy("centre").agg(F.collect_set("bin").alias("bins"), F.collect_set(F.when(F.col("far"), F.col("bin"))).alias("far_bins"))
+    held = scratch(ordered.join(differ.select("centre", "far", "width", "bin", *side), ["centre", "doc_id"]).join(bins, "centre"), "held")
 
-    def kept(rows: DataFrame, other: str) -> DataFrame:
-        """The elements that each row keeps for each bin of the other side."""
+    def kept(rows: DataFrame, other: str, bits: str) -> DataFrame:
+        """The elements that each row keeps for each bin of the other side, whose bins are ``bits`` of an element."""
         most = F.col("size") * ratio + 0.001  # differences that a link allows
 
         def need(o: Column) -> Column:
@@ -234,14 +245,20 @@ def _around(near: DataFrame, edges: DataFrame, sets: DataFrame, tested: DataFram
             """Whether a link into the bin is possible: n differs by no more than the texts do, and what
             lies beyond the other side's n can't be common."""
             end = (o + 1) * F.col("width")
-            return (o * F.col("width") <= F.col("n") + most) & (end > F.col("n") - most) & (need(o) <= F.size("own")) & (need(o) < end)
+            possible = (o * F.col("width") <= F.col("n") + most) & (end > F.col("n") - most) & (need(o) <= F.size("own")) & (need(o) < end)
+            return possible & (need(o) <= F.size(theirs(o)))
 
-        rows = rows.withColumn("other", F.explode(F.filter(other, meets))).withColumn("need", need(F.col("other")))
+        def theirs(o: Column) -> Column:
+            """The row's elements that members in the bin may have; in its own bin, of another component."""
+            bit = F.pmod(o, F.lit(64))
+            return F.filter("own", lambda x: (F.getbit(x[bits], bit) == 1) & ((o != F.col("bin")) | (F.getbit(x["mixed"], bit) == 1)))
+
+        rows = rows.withColumn("other", F.explode(F.filter(other, meets))).withColumn("need", need(F.col("other"))).withColumn("own", theirs(F.col("other")))
         places = F.size("own") - F.col("need") + 1
         return rows.select("centre", "bin", "other", *side, (F.col("need") - 1).alias("rest"), F.explode(F.transform(F.slice("own", F.lit(1), places), lambda o: o["e"])).alias("e"))
 
-    far = kept(held.filter("not linked"), "bins").select("centre", "e", F.col("bin").alias("bin_x"), F.col("other").alias("bin"), *(F.col(c).alias(f"{c}_x") for c in (*side, "rest")))
-    rare = kept(held, "far_bins").withColumnRenamed("other", "bin_x")
+    far = kept(held.filter("far"), "bins", "any").select("centre", "e", F.col("bin").alias("bin_x"), F.col("other").alias("bin"), *(F.col(c).alias(f"{c}_x") for c in (*side, "rest")))
+    rare = kept(held, "far_bins", "outer").withColumnRenamed("other", "bin_x")
     allowed = F.least("size", "size_x") * ratio
     fits = (F.col("doc_id") != F.col("doc_id_x")) & (F.col("comp") != F.col("comp_x")) & (100 * F.least("size", "size_x") >= threshold * F.greatest("size", "size_x"))
     # Common elements are those met and, beyond the kept ones of the side whose places end first, what is left of it.

@@ -54,6 +54,46 @@ def test_minhash_by_brute_force(spark):
     assert [(r.component_id, r.kept) for r in rows if r.doc_id is None] == [(None, True)]
 
 
+def _generated(spark, since):
+    """Rows that explodes of a slice made in the queries after the first ``since``, by Spark's own counts."""
+    store, total = spark._jsparkSession.sharedState().statusStore(), 0
+    for k in range(since, store.executionsCount()):
+        run = store.executionsList(k, 1).head().executionId()
+        values, nodes = store.executionMetrics(run), store.planGraph(run).allNodes()
+        for node in (nodes.apply(i) for i in range(nodes.size())):
+            if node.name().startswith("Generate") and "slice(own" in node.desc():
+                metrics = (node.metrics().apply(i) for i in range(node.metrics().size()))
+                ids = [m.accumulatorId() for m in metrics if m.name() == "number of output rows"]
+                total += sum(int(values.apply(i).replace(",", "")) for i in ids if values.contains(i))
+    return total
+
+
+def test_minhash_index_of_a_large_group_of_near_copies_is_small(spark):
+    random.seed(6)
+    word = lambda: f"w{random.randrange(10**6)}"
+    base, texts = [word() for _ in range(150)], []
+
+    def changed(text, n):
+        text = list(text)
+        for at in random.sample(range(len(text)), n):
+            text[at] = word()
+        return text
+
+    for i in range(400):
+        texts.append(changed(base, random.randint(2, 9)))
+        if i % 10 == 0:  # linked with each other, hardly ever with what is near the base
+            texts.append(changed(texts[-1], 6))
+            texts += [changed(texts[-1], 1) for _ in range(2)]
+    sets = {i: {tuple(t[k : k + 5]) for k in range(len(t) - 4)} for i, t in enumerate(texts)}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    store = spark._jsparkSession.sharedState().statusStore()
+    since = store.executionsCount()
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    rows = minhash.near_duplicates(df, 80).collect()
+    assert {r.doc_id: r.component_id for r in rows} == _groups(sets, links)
+    assert 0 < _generated(spark, since) < 40 * len(texts)
+
+
 def test_embeddings_by_brute_force(spark):
     import numpy as np
 
