@@ -180,3 +180,19 @@ def test_repeats_by_brute_force(spark):
     order = lambda r: (r[0] is None, r[0] or 0, r)
     assert sorted(got, key=order) == sorted(want, key=order)
     assert suffix_dedup.remove_repeats(df.limit(0)).collect() == []
+
+
+def test_repeats_query_returns_what_is_left(spark, tmp_path):
+    random.seed(2)
+    make = lambda n: "".join(random.choice("abcdefghij éü\n") for _ in range(n))
+    long_, short, own = make(500), " ".join(random.choice("klmno") for _ in range(60)), [make(300) for _ in range(6)]
+    left = {0: own[0] + own[1], 1: own[2], 2: f"{own[3]}|{short}", 3: f"{short}|{own[4]}", 4: own[5], 5: "", 6: "", 7: ""}
+    # Around the shared passage stand bytes that occur once, so it is cut at its own ends.
+    texts = left | {0: f"{own[0]}{long_}{own[1]}", 1: f"{own[2]}{long_}", 5: None, 7: "a" * 600}
+    spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op10_suffix_dedup(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert {i: r.text for i, r in got.items()} == left
+    assert {i: r.n_bytes for i, r in got.items()} == {i: len((t or "").encode()) for i, t in texts.items()}
+    assert all(r.kept_sha256 == hashlib.sha256(r.text.encode()).hexdigest() and r.n_bytes - r.n_removed == len(r.text.encode()) for r in got.values())
