@@ -15,6 +15,8 @@ from roadlens.session import discard, materialize
 LANE_CHANGE_M = 5.0
 #: Sources of one block of reach counts: as many bits as this travel with a vertex, in words of 64.
 BLOCK_WORDS = 16
+#: Components that one may reach beside its hub's as listed pairs; those with more are counted in blocks.
+MAX_PAIRS = 1024
 MAX_ROUNDS = 10_000
 
 
@@ -30,83 +32,81 @@ def numbered(df: DataFrame, order: list[str | Column], column: str = "number", n
     return held.join(F.broadcast(before), "_part").withColumn(column, F.col("_before") + F.col("_row")).drop("_part", "_row", "_before")
 
 
-def _spread(start: DataFrame, edges: DataFrame, same: bool = False, name: str = "spread") -> DataFrame:
-    """(id, value): the largest value that reaches each vertex along edges from ``start`` (id, value).
+def _ends(nodes: DataFrame, edges: DataFrame, name: str = "ends") -> DataFrame:
+    """(id, up, down): the largest id that reaches each vertex and the largest that it reaches, its own counted.
 
-    With ``same`` a vertex has a fixed value of its own (in start as ``own``) and takes only that one. Only
-    vertices that changed in a round send in the next.
+    Both ways go in one round. Only vertices that changed in a round send in the next.
     """
-    held = materialize(start, name)
-    front = held
-    for _ in range(MAX_ROUNDS):
-        sent = front.join(edges, F.col("id") == F.col("a")).groupBy(F.col("b").alias("id")).agg(F.max("value").alias("got"))
-        new = held.join(sent, "id", "left").withColumn("fresh", F.col("got") > F.col("value"))
-        if same:
-            new = new.withColumn("fresh", F.col("value").isNull() & (F.col("got") == F.col("own")))
-        new = materialize(new.withColumn("fresh", F.coalesce("fresh", F.lit(False))).withColumn("value", F.when(F.col("fresh"), F.col("got")).otherwise(F.col("value"))).drop("got"), name)
+    way = lambda a, b, onward: edges.select(F.col(a).alias("from"), F.col(b).alias("to"), F.lit(onward).alias("onward"))
+    arcs = way("a", "b", True).unionByName(way("b", "a", False))
+    held = nodes.select("id", F.col("id").alias("up"), F.col("id").alias("down"), F.lit(True).alias("new_up"), F.lit(True).alias("new_down"))
+    held = materialize(held, name)
+
+    def step(held: DataFrame) -> DataFrame:
+        sent = held.filter("new_up or new_down").join(arcs, F.col("id") == F.col("from")).groupBy(F.col("to").alias("id"))
+        sent = sent.agg(F.max(F.when(F.col("onward") & F.col("new_up"), F.col("up"))).alias("got_up"), F.max(F.when(~F.col("onward") & F.col("new_down"), F.col("down"))).alias("got_down"))
+        fresh = [F.coalesce(F.col(f"got_{c}") > F.col(c), F.lit(False)).alias(f"new_{c}") for c in ("up", "down")]
+        return held.join(sent, "id", "left").select("id", F.greatest("up", "got_up").alias("up"), F.greatest("down", "got_down").alias("down"), *fresh)
+
+    while True:
+        new = materialize(step(step(held)), name)
         discard(held)
-        held, front = new.drop("fresh"), new.filter("fresh").drop("fresh")
-        held._roadlens_path = new._roadlens_path
-        if front.isEmpty():
-            return held
-    raise RuntimeError(f"no fixed point after {MAX_ROUNDS} rounds")
+        held = new
+        if held.filter("new_up or new_down").isEmpty():
+            return held.select("id", "up", "down")
+
+
+def _degrees(edges: DataFrame) -> DataFrame:
+    """(id, degree): the lesser of a vertex's edges in and out; vertices without edges are not in it."""
+    both = edges.select(F.col("a").alias("id"), F.lit(1).alias("n_out"), F.lit(0).alias("n_in")).unionByName(edges.select(F.col("b").alias("id"), F.lit(0).alias("n_out"), F.lit(1).alias("n_in")))
+    return both.groupBy("id").agg(F.least(F.sum("n_out"), F.sum("n_in")).alias("degree"))
 
 
 def strong_components(vertices: DataFrame, edges: DataFrame, name: str = "strong") -> DataFrame:
     """vertices (id) and edges (a, b) to (id, component): component is the largest id of the strong component.
 
-    Vertices without a way in or out among those that are left are components of their own and go first. Then each
-    vertex takes the largest id that reaches it (its colour); a component is what its colour's vertex can
-    be reached from within the colour. What is left goes through again. Edges to ids that aren't vertices
-    and edges from a vertex to itself count for nothing.
+    Vertices are numbered by degree, so that the largest numbers stand in large components. Where the largest number
+    that reaches a vertex is also the largest that it reaches, the two are in one component. Others go through again, with
+    the edges between vertices that have the same two numbers, as no cycle holds other edges. A vertex without
+    a way in or out among these is a component of its own. Edges to ids that aren't vertices and edges from
+    a vertex to itself count for nothing.
     """
-    left = materialize(vertices.select("id").filter("id is not null").distinct(), f"{name}-left")
-    known = lambda e, c: e.join(left.select(F.col("id").alias(c)), c, "left_semi")
+    ids = materialize(vertices.select("id").filter("id is not null").distinct(), f"{name}-ids")
+    known = lambda e, c: e.join(ids.select(F.col("id").alias(c)), c, "left_semi")
     now = materialize(known(known(edges.select("a", "b").filter("a <> b").distinct(), "a"), "b").select("a", "b"), f"{name}-edges")
     done = []
-    while not left.isEmpty():
-        for _ in range(3):  # chains are left to the colours, which settle them as well
-            kept = left.join(now.select(F.col("a").alias("id")).distinct(), "id", "left_semi").join(now.select(F.col("b").alias("id")).distinct(), "id", "left_semi")
-            kept = materialize(kept, f"{name}-left")
-            gone = left.join(kept, "id", "left_anti")
-            done.append(materialize(gone.withColumn("component", F.col("id")), f"{name}-done"))
-            left, one = kept, done[-1].isEmpty()
-            now = materialize(known(known(now, "a"), "b").select("a", "b"), f"{name}-edges")
-            if one:
-                break
-        if left.isEmpty():
+    while True:
+        nodes = materialize(numbered(_degrees(now).filter("degree > 0"), ["degree", "id"], name=f"{name}-numbers").select("id", "number"), f"{name}-nodes")
+        if nodes.isEmpty():
             break
-        colour = _spread(left.withColumn("value", F.col("id")), now, name=f"{name}-colour").withColumnRenamed("value", "own")
-        side = lambda c: colour.select(F.col("id").alias(c), F.col("own").alias(f"{c}_own"))
-        inner = now.join(side("a"), "a").join(side("b"), "b").filter("a_own = b_own").select(F.col("b").alias("a"), F.col("a").alias("b"))
-        inner = materialize(inner, f"{name}-inner")  # against the direction of travel, within a colour
-        found = _spread(colour.withColumn("value", F.when(F.col("id") == F.col("own"), F.col("own"))), inner, same=True, name=f"{name}-back")
-        done.append(materialize(found.filter("value is not null").select("id", F.col("own").alias("component")), f"{name}-done"))
-        left = materialize(left.join(done[-1], "id", "left_anti"), f"{name}-left")
-        now = materialize(known(known(now, "a"), "b").select("a", "b"), f"{name}-edges")
-    return reduce(DataFrame.unionByName, done) if done else left.withColumn("component", F.col("id"))
-
-
-def reach_counts(vertices: DataFrame, edges: DataFrame, name: str = "reach") -> DataFrame:
-    """(id, component, size, reach): how many other vertices can be reached from each.
-
-    Counted on components. Sources go in blocks of 64 * ``BLOCK_WORDS`` components; a block is one flood in which
-    every component holds the set of sources that reach it, as bits, so no table of pairs is made. The number of
-    blocks grows with the number of components.
+        side = lambda c: nodes.select(F.col("id").alias(c), F.col("number").alias(f"n{c}"))  # noqa: B023,E731
+        inner = materialize(now.join(side("a"), "a").join(side("b"), "b"), f"{name}-inner")
+        ends = _ends(nodes.select(F.col("number").alias("id")), inner.select(F.col("na").alias("a"), F.col("nb").alias("b")), f"{name}-ends")
+        whole = nodes.join(ends.filter("up = down").select(F.col("id").alias("number"), "up"), "number").select("id", "up")
+        largest = whole.groupBy("up").agg(F.max("id").alias("component"))
+        done.append(materialize(whole.join(largest, "up").select("id", "component"), f"{name}-done"))
+        side = lambda c: ends.filter("up <> down").select(F.col("id").alias(f"n{c}"), F.struct("up", "down").alias(f"e{c}"))  # noqa: B023,E731
+        now = materialize(inner.join(side("a"), "na").join(side("b"), "nb").filter("ea = eb").select("a", "b"), f"{name}-edges")
+    if not done:
+        return ids.withColumn("component", F.col("id"))
+    return ids.join(reduce(DataFrame.unionByName, done), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
+def _block_counts(asked: DataFrame, nodes: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """(id, all): the sizes of all nodes that each asked one reaches, its own counted.
+
+    Sources go in blocks of 64 * ``BLOCK_WORDS``; a block is one flood in which every node holds the set of
+    sources that reach it, as bits, so no table of pairs is made.
     """
-    comp = materialize(strong_components(vertices, edges, f"{name}-strong"), f"{name}-comp")
-    side = lambda c: comp.select(F.col("id").alias(c), F.col("component").alias(f"c{c}"))
-    links = edges.join(side("a"), "a").join(side("b"), "b").filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
-    links = materialize(links, f"{name}-links")
-    sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    sizes = materialize(numbered(sizes, ["component"], name=f"{name}-numbers"), f"{name}-sizes")
-    n, per = sizes.count(), 64 * BLOCK_WORDS
+    asked = materialize(numbered(asked.select("id"), ["id"], name=f"{name}-numbers"), f"{name}-asked")
+    n, per = asked.count(), 64 * BLOCK_WORDS
     words = [f"w{i}" for i in range(BLOCK_WORDS)]
     counts = []
     for block in range(-(-n // per)):
         spot = f"(number - {block * per})"
         bits = [F.expr(f"if({spot} div 64 = {i} and {spot} >= 0, shiftleft(1L, cast({spot} % 64 as int)), 0L)").alias(w) for i, w in enumerate(words)]
-        held = materialize(sizes.select(F.col("component").alias("id"), *bits), f"{name}-bits")
+        held = nodes.select("id").join(asked, "id", "left").select("id", *[F.coalesce(b, F.lit(0)).alias(w) for b, w in zip(bits, words, strict=True)])
+        held = materialize(held, f"{name}-bits")
         front = held.filter(reduce(Column.__or__, [F.col(w) != 0 for w in words]))
         while True:
             sent = front.join(links, F.col("id") == F.col("a")).groupBy(F.col("b").alias("id")).agg(*[F.bit_or(w).alias(f"g{w}") for w in words])
@@ -118,16 +118,66 @@ def reach_counts(vertices: DataFrame, edges: DataFrame, name: str = "reach") ->
             held, front = new, new.filter("fresh")
             if front.isEmpty():
                 break
-        # A source gets the sizes of all components that hold its bit; sums are made before the shuffle.
-        sized = held.join(sizes.select(F.col("component").alias("id"), "size"), "id")
+        # A source gets the sizes of all nodes that hold its bit; sums are made before the shuffle.
+        sized = held.join(nodes.select("id", "size"), "id")
         bit = lambda w, i: F.transform(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda j: F.call_function("getbit", F.col(w), j) == 1), lambda j: j + 64 * i)
         spots = F.flatten(F.array(*[bit(w, i) for i, w in enumerate(words)]))
         count = sized.select(F.explode(spots).alias("spot"), "size").groupBy("spot").agg(F.sum("size").alias("all"))
         counts.append(materialize(count.select((F.col("spot") + block * per).alias("number"), "all"), f"{name}-counts"))
-    if not counts:
-        return comp.withColumn("size", F.lit(0).cast("long")).withColumn("reach", F.lit(0).cast("long"))
-    total = sizes.join(reduce(DataFrame.unionByName, counts), "number").select("component", "size", (F.col("all") - 1).alias("reach"))
-    return comp.join(total, "component").select("id", "component", "size", "reach")
+        discard(held)
+    return asked.join(reduce(DataFrame.unionByName, counts), "number").select("id", "all")
+
+
+def reach_counts(vertices: DataFrame, edges: DataFrame, name: str = "reach") -> DataFrame:
+    """(id, component, size, reach): how many other vertices can be reached from each.
+
+    Counted on components, numbered by size. The hub of a component is the largest number that it reaches, if what that
+    hub reaches is just what has the hub as the largest number that reaches it: then this part is one sum, the
+    same for all with this hub. What a component reaches beside it is listed as pairs. A component with over ``MAX_PAIRS``
+    of them is counted by floods of blocks, without pairs, so no table of all pairs is made.
+    """
+    edges = materialize(edges.select("a", "b").filter("a <> b").distinct(), f"{name}-edges")
+    comp = materialize(strong_components(vertices, edges, f"{name}-strong"), f"{name}-comp")
+    side = lambda c: comp.select(F.col("id").alias(c), F.col("component").alias(f"c{c}"))
+    links = edges.join(side("a"), "a").join(side("b"), "b").filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    links = materialize(links, f"{name}-links")
+    sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size")).join(_degrees(links).withColumnRenamed("id", "component"), "component", "left")
+    nodes = materialize(numbered(sizes, ["size", "degree", "component"], name=f"{name}-numbers").select(F.col("number").alias("id"), "component", "size"), f"{name}-nodes")
+    side = lambda c: nodes.select(F.col("component").alias(c), F.col("id").alias(f"n{c}"))
+    links = materialize(links.join(side("a"), "a").join(side("b"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b")), f"{name}-steps")
+    nodes = materialize(_ends(nodes, links, f"{name}-ends").join(nodes, "id"), f"{name}-nodes")
+    up = lambda c: nodes.select(F.col("id").alias(c), F.col("up").alias(f"up_{c}"))
+    steps = materialize(links.join(up("a"), "a").join(up("b"), "b"), f"{name}-steps")
+    left = steps.filter("up_a <> up_b").select(F.col("up_a").alias("hub")).distinct()
+    hubs = nodes.groupBy(F.col("up").alias("hub")).agg(F.sum("size").alias("below")).join(left, "hub", "left_anti")
+    nodes = materialize(nodes.join(hubs, F.col("down") == F.col("hub"), "left").select("id", "component", "size", "hub", "below"), f"{name}-nodes")
+    steps = steps.select("a", "b", F.col("up_b").alias("up"))
+    beside = F.col("hub").isNull() | (F.col("hub") != F.col("up"))
+    held = steps.join(nodes.select(F.col("id").alias("a"), "hub"), "a").filter(beside).select(F.col("a").alias("source"), "hub", F.col("b").alias("id"), F.lit(True).alias("fresh"))
+    held, wide = materialize(held, f"{name}-pairs"), []
+    while True:
+        each = held.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.max("fresh").alias("fresh"))
+        most = each.agg(F.max("n").alias("n"), F.max("fresh").alias("fresh")).first()
+        if most.n and most.n > MAX_PAIRS:
+            wide.append(materialize(each.filter(F.col("n") > MAX_PAIRS).select(F.col("source").alias("id")), f"{name}-wide"))
+            new = materialize(held.join(wide[-1].withColumnRenamed("id", "source"), "source", "left_anti"), f"{name}-pairs")
+            discard(held)
+            held = new
+        if not most.fresh:
+            break
+        sent = held.filter("fresh").select("source", "hub", F.col("id").alias("a")).join(steps, "a").filter(beside).select("source", "hub", F.col("b").alias("id"), F.lit(True).alias("fresh"))
+        # A pair that was there before is not fresh.
+        new = held.withColumn("fresh", F.lit(False)).unionByName(sent).groupBy("source", "hub", "id").agg(F.min("fresh").alias("fresh"))
+        new = materialize(new, f"{name}-pairs")
+        discard(held)
+        held = new
+    listed = held.join(nodes.select("id", "size"), "id").groupBy(F.col("source").alias("id")).agg(F.sum("size").alias("listed"))
+    own = F.when(F.col("id") == F.col("hub"), F.col("below")).otherwise(F.col("size") + F.coalesce("below", F.lit(0)))
+    total = nodes.join(listed, "id", "left").withColumn("all", own + F.coalesce("listed", F.lit(0)))
+    if wide:
+        counted = _block_counts(reduce(DataFrame.unionByName, wide), nodes, links, f"{name}-wide").withColumnRenamed("all", "counted")
+        total = total.join(counted, "id", "left").withColumn("all", F.coalesce("counted", "all"))
+    return comp.join(total.select("component", "size", (F.col("all") - 1).alias("reach")), "component").select("id", "component", "size", "reach")
 
 
 def reach_facts(reach: DataFrame) -> DataFrame:

@@ -54,6 +54,37 @@ def test_reach_in_several_blocks(spark, monkeypatch):
     assert {r.id: r.reach for r in directed.reach_counts(v, e).collect()} == {i: len(reach[i]) for i in n}
 
 
+@pytest.mark.parametrize("most", [0, 2, 1024])
+def test_reach_beside_hubs(spark, monkeypatch, most):
+    """Rings in a row and apart, with chains and forks in front, behind and past them; over ``most`` pairs go by blocks."""
+    monkeypatch.setattr(directed, "MAX_PAIRS", most)
+    monkeypatch.setattr(directed, "BLOCK_WORDS", 1)
+    rng = random.Random(4)
+    rings = [(0, 12), (20, 8), (30, 12), (50, 3)]
+    edges = [(s + i, s + (i + 1) % k) for s, k in rings for i in range(k)] + [(3, 21), (22, 51), (14, 1), (13, 14), (13, 35), (15, 16), (16, 2), (16, 18), (52, 60), (60, 61)]
+    n = list(range(140))
+    edges += [(a, b) for a, b in ((rng.randrange(60, 140), rng.randrange(60, 140)) for _ in range(70)) if a < b] + [(rng.randrange(60, 100), rng.choice([5, 33, 25])) for _ in range(12)]
+    reach = descendants(n, edges)
+    v, e = spark.createDataFrame([(i,) for i in n], "id long"), spark.createDataFrame(edges, "a long, b long")
+    own = {i: max({i} | {w for w in reach[i] if i in reach[w]}) for i in n}
+    got = {r.id: (r.component, r.size, r.reach) for r in directed.reach_counts(v, e).collect()}
+    assert got == {i: (own[i], list(own.values()).count(own[i]), len(reach[i] - {i})) for i in n}
+
+
+def test_reach_around_a_hub_takes_no_block(spark, monkeypatch):
+    """Work doesn't grow by a flood for each 64 * ``BLOCK_WORDS`` components where most of them lead to one hub or away from it."""
+    monkeypatch.setattr(directed, "BLOCK_WORDS", 1)
+    made, write = [], directed.materialize
+    monkeypatch.setattr(directed, "materialize", lambda df, name: (made.append(name), write(df, name))[1])
+    ring, n = 10, 410
+    edges = [(i, (i + 1) % ring) for i in range(ring)] + [(i, i % ring) for i in range(ring, 200)] + [(i % ring, i) for i in range(200, 400)] + [(15, 300), (401, 402)]
+    v, e = spark.createDataFrame([(i,) for i in range(n)], "id long"), spark.createDataFrame(edges, "a long, b long")
+    got = {r.id: (r.size, r.reach) for r in directed.reach_counts(v, e).collect()}
+    want = {i: (10, 209) if i < ring else (1, 210) if i < 200 else (1, 0) for i in range(n)} | {401: (1, 1)}
+    assert got == want
+    assert not [x for x in made if x.endswith("-bits")] and len(made) < 40
+
+
 def test_no_vertices(spark):
     v, e = spark.createDataFrame([], "id long"), spark.createDataFrame([(1, 2)], "a long, b long")
     assert directed.strong_components(v, e).count() == 0
