@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from roadlens.session import discard, materialize
 
@@ -49,10 +49,11 @@ def _ends(nodes: DataFrame, edges: DataFrame, name: str = "ends") -> DataFrame:
         return held.join(sent, "id", "left").select("id", F.greatest("up", "got_up").alias("up"), F.greatest("down", "got_down").alias("down"), *fresh)
 
     while True:
-        new = materialize(step(step(held)), name)
+        seen = Observation()  # read off the write, so a round is one job less
+        new = materialize(step(step(held)).observe(seen, F.max(F.col("new_up") | F.col("new_down")).alias("fresh")), name)
         discard(held)
         held = new
-        if held.filter("new_up or new_down").isEmpty():
+        if not seen.get["fresh"]:
             return held.select("id", "up", "down")
 
 
@@ -74,22 +75,26 @@ def strong_components(vertices: DataFrame, edges: DataFrame, name: str = "strong
     ids = materialize(vertices.select("id").filter("id is not null").distinct(), f"{name}-ids")
     known = lambda e, c: e.join(ids.select(F.col("id").alias(c)), c, "left_semi")
     now = materialize(known(known(edges.select("a", "b").filter("a <> b").distinct(), "a"), "b").select("a", "b"), f"{name}-edges")
-    done = []
+    nodes = numbered(_degrees(now).filter("degree > 0"), ["degree", "id"], name=f"{name}-numbers").select("id", "number")
+    nodes = materialize(nodes, f"{name}-nodes")
+    side = lambda c: nodes.select(F.col("id").alias(c), F.col("number").alias(f"n{c}"))
+    now = now.join(side("a"), "a").join(side("b"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    now, done = materialize(now, f"{name}-numbered"), []
     while True:
-        nodes = materialize(numbered(_degrees(now).filter("degree > 0"), ["degree", "id"], name=f"{name}-numbers").select("id", "number"), f"{name}-nodes")
-        if nodes.isEmpty():
+        live = materialize(_degrees(now).filter("degree > 0").select("id"), f"{name}-live")
+        if live.isEmpty():
             break
-        side = lambda c: nodes.select(F.col("id").alias(c), F.col("number").alias(f"n{c}"))  # noqa: B023,E731
-        inner = materialize(now.join(side("a"), "a").join(side("b"), "b"), f"{name}-inner")
-        ends = _ends(nodes.select(F.col("number").alias("id")), inner.select(F.col("na").alias("a"), F.col("nb").alias("b")), f"{name}-ends")
-        whole = nodes.join(ends.filter("up = down").select(F.col("id").alias("number"), "up"), "number").select("id", "up")
-        largest = whole.groupBy("up").agg(F.max("id").alias("component"))
-        done.append(materialize(whole.join(largest, "up").select("id", "component"), f"{name}-done"))
-        side = lambda c: ends.filter("up <> down").select(F.col("id").alias(f"n{c}"), F.struct("up", "down").alias(f"e{c}"))  # noqa: B023,E731
-        now = materialize(inner.join(side("a"), "na").join(side("b"), "nb").filter("ea = eb").select("a", "b"), f"{name}-edges")
+        within = lambda e, c: e.join(live.select(F.col("id").alias(c)), c, "left_semi")  # noqa: B023,E731
+        now = materialize(within(within(now, "a"), "b").select("a", "b"), f"{name}-numbered")
+        ends = _ends(live, now, f"{name}-ends")
+        done.append(ends.filter("up = down").select(F.col("id").alias("number"), "up"))
+        side = lambda c: ends.filter("up <> down").select(F.col("id").alias(c), F.struct("up", "down").alias(f"e{c}"))  # noqa: B023,E731
+        now = materialize(now.join(side("a"), "a").join(side("b"), "b").filter("ea = eb").select("a", "b"), f"{name}-numbered")
     if not done:
         return ids.withColumn("component", F.col("id"))
-    return ids.join(reduce(DataFrame.unionByName, done), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    whole = materialize(nodes.join(reduce(DataFrame.unionByName, done), "number").select("id", "up"), f"{name}-done")
+    largest = whole.groupBy("up").agg(F.max("id").alias("component"))
+    return ids.join(whole.join(largest, "up").select("id", "component"), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
 def _block_counts(asked: DataFrame, nodes: DataFrame, links: DataFrame, name: str) -> DataFrame:

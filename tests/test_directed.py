@@ -85,6 +85,26 @@ def test_reach_around_a_hub_takes_no_block(spark, monkeypatch):
     assert not [x for x in made if x.endswith("-bits")] and len(made) < 40
 
 
+def test_facts_of_copies_in_few_rounds(spark, monkeypatch):
+    """Copies apart from each other are settled together: as many tables as for one of them, and facts that equal brute force."""
+    made, write = [], directed.materialize
+    monkeypatch.setattr(directed, "BLOCK_WORDS", 1)
+    monkeypatch.setattr(directed, "materialize", lambda df, name: (made.append(name), write(df, name))[1])
+    one = [(i, (i + 1) % 9) for i in range(9)] + [(i, i % 9) for i in range(9, 40)] + [(i % 9, i) for i in range(40, 80)] + [(41, 80), (80, 81), (81, 80), (81, 82), (12, 11)]
+    n, tables = 84, []
+    for copies in (1, 5):
+        edges = [(a + n * k, b + n * k) for k in range(copies) for a, b in one]
+        reach = {v: len(w - {v}) for v, w in descendants(range(n * copies), edges).items()}
+        v, e = spark.createDataFrame([(i,) for i in range(n * copies)], "id long"), spark.createDataFrame(edges, "a long, b long")
+        made.clear()
+        got = directed.reach_facts(directed.reach_counts(v, e)).first()
+        tables.append(len(made))
+        assert (got.best_start, got.best_start_reaches) == max(reach.items(), key=lambda c: (c[1], c[0]))
+        assert (got.median_reach, got.reaching_nothing, got.reachable_pairs) == (statistics.median(reach.values()), list(reach.values()).count(0), sum(reach.values()))
+        assert (got.components, got.largest) == (copies * (n - 8 - 1), 9)
+    assert tables[0] == tables[1] < 45
+
+
 def test_no_vertices(spark):
     v, e = spark.createDataFrame([], "id long"), spark.createDataFrame([(1, 2)], "a long, b long")
     assert directed.strong_components(v, e).count() == 0
